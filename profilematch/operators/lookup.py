@@ -12,13 +12,15 @@ by token with a salt, since a frequent word can be a large share of all tokens.
 
 from __future__ import annotations
 
+import json
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from profilematch.functions.text import clean_text, is_english, split_words, tokens_ws
+from profilematch.session import fits
 
 MAX_CONSTANT_TERMS = 50_000
 JOIN_SALTS = 32
@@ -34,26 +36,17 @@ class Dictionaries:
     slang: DataFrame
     wrong: DataFrame
     stop: DataFrame
+    _lookups: dict = field(default_factory=dict, repr=False, compare=False)
 
-
-def _push(terms: DataFrame, d: Dictionaries, translate: bool, out: str) -> DataFrame:
-    """Take every known term through the steps in order."""
-    words = terms.select("term", F.col("term").alias("word"))
-    if translate:
-        english = d.english.select(F.col("term").alias("word"), "replacement").dropDuplicates(["word"])
-        words = words.join(english, "word", "left").select(
-            "term", F.coalesce("replacement", "word").alias("word")
-        )
-    words = words.select("term", F.posexplode(split_words("word")).alias("p", "word"))
-    slang = d.slang.select(F.col("term").alias("word"), "replacement").dropDuplicates(["word"])
-    words = words.join(slang, "word", "left").select(
-        "term", "p", F.posexplode(split_words(F.coalesce("replacement", "word"))).alias("q", "word")
-    )
-    dropped = d.wrong.select("term").union(d.stop.select("term")).distinct()
-    kept = words.join(dropped.withColumnRenamed("term", "word"), "word", "left_anti")
-    return kept.groupBy("term").agg(
-        F.array_join(F.sort_array(F.collect_list(F.struct("p", "q", "word")))["word"], " ").alias(out)
-    )
+    def lookup(self, max_terms: int = MAX_CONSTANT_TERMS) -> ConstantLookup | None:
+        """The composed dictionary as a constant, built once; None when it is too large for that."""
+        if max_terms not in self._lookups:
+            tables = (self.english, self.slang, self.wrong, self.stop)
+            small = all(fits(t, max_terms) for t in tables)
+            # In one partition, the few rows are composed without any shuffle.
+            one = Dictionaries(*(t.coalesce(1) for t in tables)) if small else self
+            self._lookups[max_terms] = ConstantLookup.of(compose(one), max_terms) if small else None
+        return self._lookups[max_terms]
 
 
 def compose(d: Dictionaries) -> DataFrame:
@@ -66,38 +59,57 @@ def compose(d: Dictionaries) -> DataFrame:
         .where(F.size(split_words("term")) == 1)
         .distinct()
     )
-    return (
-        terms.join(_push(terms, d, True, "en"), "term", "left")
-        .join(_push(terms, d, False, "other"), "term", "left")
-        .select("term", F.coalesce("en", F.lit("")).alias("en"), F.coalesce("other", F.lit("")).alias("other"))
-    )
+    # Both languages take the same steps; only English text is translated first.
+    words = terms.select("term", F.explode(F.array(F.lit(True), F.lit(False))).alias("translate"))
+    english = d.english.select("term", F.col("replacement").alias("translated")).dropDuplicates(["term"])
+    words = words.join(english, "term", "left")
+    translated = F.when(F.col("translate"), F.coalesce("translated", "term")).otherwise(F.col("term"))
+    words = words.select("term", "translate", F.posexplode(split_words(translated)).alias("p", "word"))
+    slang = d.slang.select(F.col("term").alias("word"), "replacement").dropDuplicates(["word"])
+    expanded = split_words(F.coalesce("replacement", "word"))
+    words = words.join(slang, "word", "left").select("term", "translate", "p", F.posexplode(expanded).alias("q", "word"))
+    dropped = d.wrong.select("term").union(d.stop.select("term")).distinct()
+    dropped = dropped.select(F.col("term").alias("word"), F.lit(True).alias("dropped"))
+
+    def final(english: bool) -> Column:
+        kept = F.when(F.col("dropped").isNull() & (F.col("translate") == english), F.struct("p", "q", "word"))
+        return F.array_join(F.sort_array(F.collect_list(kept))["word"], " ")
+
+    words = words.join(dropped, "word", "left")
+    return words.groupBy("term").agg(final(True).alias("en"), final(False).alias("other"))
 
 
 class ConstantLookup:
-    """A composed dictionary as a constant inside the plan."""
+    """A composed dictionary of checked size as a constant inside the plan."""
 
-    def __init__(self, composed: DataFrame, n_terms: int):
+    def __init__(self, rows: list[Row]):
         self.n_slots = 16
-        while self.n_slots < 2 * n_terms:
+        while self.n_slots < 2 * len(rows):
             self.n_slots *= 2
-        entries = composed.groupBy(F.pmod(F.hash("term"), F.lit(self.n_slots)).alias("slot")).agg(
-            F.collect_list(F.struct("term", "en", "other")).alias("entries")
-        )
-        slots = composed.sparkSession.range(self.n_slots).select(F.col("id").cast("int").alias("slot"))
-        empty = F.array().cast("array<struct<term:string,en:string,other:string>>")
-        table = slots.join(entries, "slot", "left").agg(
-            F.sort_array(F.collect_list(F.struct("slot", F.coalesce("entries", empty).alias("entries")))).alias("s")
-        )
+        slots: list[list[dict]] = [[] for _ in range(self.n_slots)]
+        for row in rows:
+            slots[row["hash"] % self.n_slots].append({"term": row["term"], "en": row["en"], "other": row["other"]})
         # Parsed once, by constant folding.
-        self._slots = F.from_json(F.lit(table.select(F.to_json("s.entries")).first()[0]), _SLOTS)
+        self._slots = F.from_json(F.lit(json.dumps(slots, ensure_ascii=False)), _SLOTS)
+
+    @staticmethod
+    def of(composed: DataFrame, max_terms: int) -> ConstantLookup | None:
+        """None when there are more terms; no more than ``max_terms`` + 1 rows are fetched."""
+        hashed = composed.select("term", "en", "other", F.hash("term").alias("hash"))
+        rows = hashed.limit(max_terms + 1).collect()
+        return ConstantLookup(rows) if len(rows) <= max_terms else None
 
     def words(self, tokens: Column, english: Column) -> Column:
-        def replace(token: Column) -> Column:
-            slot = F.get(self._slots, F.pmod(F.hash(token), F.lit(self.n_slots)))
-            hit = F.get(F.filter(slot, lambda e: e["term"] == token), F.lit(0))
-            return F.coalesce(F.when(english, hit["en"]).otherwise(hit["other"]), token)
+        def replaced(field: str) -> Column:
+            def replace(token: Column) -> Column:
+                slot = F.get(self._slots, F.pmod(F.hash(token), F.lit(self.n_slots)))
+                hit = F.get(F.filter(slot, lambda e: e["term"] == token), F.lit(0))
+                return F.coalesce(hit[field], token)
+
+            return F.transform(tokens, replace)
 
-        return F.array_remove(F.transform(tokens, replace), "")
+        # The language is tested outside the lambda: inside, it would run once per token.
+        return F.array_remove(F.when(english, replaced("en")).otherwise(replaced("other")), "")
 
 
 def normalize_text(
@@ -109,16 +121,13 @@ def normalize_text(
     max_constant_terms: int = MAX_CONSTANT_TERMS,
 ) -> DataFrame:
     """``df`` plus the normalised text. ``id_col`` must be unique."""
-    composed = compose(dictionaries).cache()
-    n_terms = composed.limit(max_constant_terms + 1).count()
-    if n_terms <= max_constant_terms:
-        lookup = ConstantLookup(composed, n_terms)
-        composed.unpersist()
+    lookup = dictionaries.lookup(max_constant_terms)
+    if lookup is not None:
         # The cleaned text is used twice; the extra projection keeps one copy of it.
         cleaned = df.withColumn("_clean", clean_text(text_col))
         words = lookup.words(tokens_ws("_clean"), is_english("_clean"))
         return cleaned.withColumn(out_col, F.array_join(words, " ")).drop("_clean")
-    return _normalize_by_join(df, id_col, text_col, composed, out_col)
+    return _normalize_by_join(df, id_col, text_col, compose(dictionaries), out_col)
 
 
 def _normalize_by_join(
@@ -146,13 +155,12 @@ def replace_emoji(text: Column, emoji: DataFrame, max_emoji: int = MAX_CONSTANT_
 
     One alternation, longest first, cuts the text at the emoji; the pieces are then looked up.
     """
-    n_emoji = emoji.limit(max_emoji + 1).count()
-    if n_emoji > max_emoji:
+    if not fits(emoji, max_emoji):
         raise ValueError(f"emoji map has more than {max_emoji} entries")
-    if n_emoji == 0:
+    if emoji.isEmpty():
         return text
     word = F.concat(F.lit(" "), "replacement", F.lit(" "))
-    lookup = ConstantLookup(emoji.select("term", word.alias("en"), word.alias("other")), n_emoji)
+    lookup = ConstantLookup.of(emoji.select("term", word.alias("en"), word.alias("other")), max_emoji)
     longest_first = emoji.orderBy(F.length("term").desc(), "term").select("term").collect()
     pattern = "(" + "|".join(re.escape(row["term"]) for row in longest_first) + ")"
     pieces = F.split(F.regexp_replace(text, pattern, "\x01$1\x01"), "\x01")

@@ -7,8 +7,9 @@ Two weightings:
 
 Both give unit-length documents. N counts every document, those without any term included.
 
-The corpus is hash-partitioned by document id once, as text. Counting, weighting, norms and later
-scoring all group by id, so none of them shuffles the (much larger) postings again.
+The corpus is hash-partitioned by document id once. Its term counts are written as a table bucketed by
+id: the text is tokenised once, and weighting, norms and later scoring, which all group by id, do not
+shuffle the postings again.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from profilematch.session import fits, materialize
+from profilematch.session import fits, materialize, materialize_by, read_bucketed, write_bucketed
 
 FORMULAS = ("log2", "smooth")
 # A vocabulary up to this many rows is broadcast whole; of a larger one, this many of its most
@@ -36,12 +37,15 @@ def _idf(formula: str, n: Column) -> Column:
     raise ValueError(f"formula must be one of {FORMULAS}, not {formula!r}")
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(id, term, tf) from (id, tokens), partitioned by id."""
+def term_counts(docs: DataFrame, partitioned: bool = False) -> DataFrame:
+    """(id, term, tf) from (id, tokens), partitioned by id; ``partitioned`` says that ``docs`` already is."""
+    docs = docs.select("id", "tokens")
     return (
-        docs.select("id", "tokens")
-        .repartition("id")
-        .select("id", F.explode("tokens").alias("term"))
+        (docs if partitioned else docs.repartition("id"))
+        # The outer form: the inner one makes the optimizer test the size of the array in a filter of its
+        # own, which tokenises every text a second time.
+        .select("id", F.explode_outer("tokens").alias("term"))
+        .where("term is not null")
         .groupBy("id", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -81,30 +85,30 @@ class Index:
     formula: str
 
     def save(self, path: str) -> None:
+        spark = self.vocab.sparkSession
         self.ids.write.mode("overwrite").parquet(os.path.join(path, "ids"))
         self.vocab.write.mode("overwrite").parquet(os.path.join(path, "vocab"))
-        self.weights.write.mode("overwrite").parquet(os.path.join(path, "weights"))
-        meta = self.vocab.sparkSession.range(1).select(F.lit(self.formula).alias("formula"))
+        write_bucketed(self.weights, os.path.join(path, "weights"), "id")
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        meta = spark.range(1).select(F.lit(self.formula).alias("formula"), F.lit(buckets).alias("buckets"))
         meta.write.mode("overwrite").json(os.path.join(path, "meta"))
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> Index:
         from profilematch.sources.artefacts import require
 
-        def part(name: str, schema: str) -> DataFrame:
-            return spark.read.schema(schema).parquet(require(spark, os.path.join(path, name)))
-
-        formula = spark.read.schema("formula string").json(require(spark, os.path.join(path, "meta")))
+        parts = {name: require(spark, os.path.join(path, name)) for name in ("meta", "ids", "vocab", "weights")}
+        meta = spark.read.schema("formula string, buckets int").json(parts["meta"]).first()
         return Index(
-            ids=spark.read.parquet(require(spark, os.path.join(path, "ids"))),
-            vocab=part("vocab", "term string, df long, idf double"),
-            weights=spark.read.parquet(require(spark, os.path.join(path, "weights"))),
-            formula=formula.first()["formula"],
+            ids=spark.read.parquet(parts["ids"]),
+            vocab=spark.read.schema("term string, df long, idf double").parquet(parts["vocab"]),
+            weights=read_bucketed(spark, parts["weights"], "id", meta["buckets"]),
+            formula=meta["formula"],
         )
 
     def stored(self) -> Index:
         """The same index with its weights written to the shared folder, for jobs that read them twice."""
-        return replace(self, weights=materialize(self.weights, "weights"))
+        return replace(self, weights=materialize_by(self.weights, "weights", "id"))
 
 
 def fit_index(
@@ -113,19 +117,23 @@ def fit_index(
     tokens_col: str,
     formula: str = "log2",
     max_terms: int | None = None,
+    partitioned: bool = False,
     max_broadcast_terms: int = MAX_BROADCAST_TERMS,
 ) -> Index:
-    """Fit on a token column. ``max_terms`` keeps the most frequent terms of the corpus only."""
+    """Fit on a token column. ``max_terms`` keeps the most frequent terms of the corpus only.
+
+    ``partitioned``: ``docs`` is already hash-partitioned by its id, as ``repartition(id_col)`` leaves it.
+    """
     docs = docs.select(F.col(id_col).alias("id"), F.col(tokens_col).alias("tokens"))
     ids = docs.select("id")
-    n_docs = ids.agg(F.count(F.lit(1))).scalar()
-    counts = document_frequencies(docs)
+    counts = materialize_by(term_counts(docs, partitioned), "counts", "id")
+    terms = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("n"))
     if max_terms is not None:
-        counts = counts.join(top_terms(docs, max_terms).select("term"), "term")
+        terms = terms.orderBy(F.desc("n"), "term").limit(max_terms)
+    n_docs = ids.agg(F.count(F.lit(1))).scalar()
     # Written once: the query side and the weights both read it, and its size decides the join.
-    vocab = materialize(with_idf(counts, n_docs, formula).select("term", "df", "idf"), "vocab")
-    weights = unit_weights(term_counts(docs), vocab, max_broadcast_terms)
-    return Index(ids, vocab, weights, formula)
+    vocab = materialize(with_idf(terms, n_docs, formula).select("term", "df", "idf"), "vocab")
+    return Index(ids, vocab, unit_weights(counts, vocab, max_broadcast_terms), formula)
 
 
 def unit_weights(counts: DataFrame, vocab: DataFrame, max_broadcast_terms: int = MAX_BROADCAST_TERMS) -> DataFrame:

@@ -119,7 +119,12 @@ def nearest(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
 
 def knn_classify(train: DataFrame, test: DataFrame, k: int = KNN_K) -> DataFrame:
     """(id, prediction) by majority of the k nearest; ties go to the smaller label."""
-    votes = nearest(test, train, k).groupBy("id", "label").agg(F.count(F.lit(1)).alias("n"))
+    return vote(nearest(test, train, k))
+
+
+def vote(neighbours: DataFrame) -> DataFrame:
+    """(id, prediction): the most frequent label of each id; ties go to the smaller label."""
+    votes = neighbours.groupBy("id", "label").agg(F.count(F.lit(1)).alias("n"))
     order = W.partitionBy("id").orderBy(F.desc("n"), "label")
     first = votes.withColumn("_r", F.row_number().over(order)).where(F.col("_r") == 1)
     return first.select("id", F.col("label").alias("prediction"))

@@ -45,6 +45,30 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_by(df: DataFrame, label: str, key: str) -> DataFrame:
+    """Like ``materialize``, as a table bucketed by ``key``: grouping by the key needs no shuffle."""
+    path = os.path.join(shared_folder(df.sparkSession), "profilematch", f"{label}-{uuid.uuid4().hex}")
+    return write_bucketed(df, path, key)
+
+
+def write_bucketed(df: DataFrame, path: str, key: str) -> DataFrame:
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    name = "profilematch_" + uuid.uuid4().hex
+    df.write.mode("overwrite").option("path", path).bucketBy(buckets, key).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def read_bucketed(spark: SparkSession, path: str, key: str, buckets: int) -> DataFrame:
+    """A table that ``write_bucketed`` left at ``path``, in a session that may not know it yet."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    name = "profilematch_" + uuid.uuid4().hex
+    location = path.replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({key}) INTO {buckets} BUCKETS LOCATION '{location}'"
+    )
+    return spark.table(name)
+
+
 def fits(df: DataFrame, bound: int) -> bool:
     """Whether ``df`` has at most ``bound`` rows; reads no more than that."""
     return df.limit(bound + 1).count() <= bound

@@ -5,6 +5,7 @@ Each dictionary is read from the first path that exists, else from a default tab
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,11 +31,13 @@ DEFAULT_ENGLISH = {
 
 
 def term_map(spark: SparkSession, pairs: dict[str, str]) -> DataFrame:
-    return spark.createDataFrame(list(pairs.items()), "term string, replacement string")
+    """A map given in code; Arrow input becomes a relation inside the plan."""
+    columns = {"term": pa.array(pairs.keys(), pa.string()), "replacement": pa.array(pairs.values(), pa.string())}
+    return spark.createDataFrame(pa.table(columns))
 
 
 def word_list(spark: SparkSession, words: list[str]) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in words], "term string").distinct()
+    return spark.createDataFrame(pa.table({"term": pa.array(dict.fromkeys(words), pa.string())}))
 
 
 def first_existing(spark: SparkSession, paths: list[str]) -> str | None:
@@ -70,14 +73,14 @@ def load_term_map(
     path = first_existing(spark, paths)
     if path is not None:
         return read_term_map(spark, path, strip)
-    return default if default is not None else spark.createDataFrame([], "term string, replacement string")
+    return default if default is not None else term_map(spark, {})
 
 
 def load_word_list(spark: SparkSession, paths: list[str], default: DataFrame | None = None) -> DataFrame:
     path = first_existing(spark, paths)
     if path is not None:
         return read_word_list(spark, path)
-    return default if default is not None else spark.createDataFrame([], "term string")
+    return default if default is not None else word_list(spark, [])
 
 
 def load_dictionaries(
