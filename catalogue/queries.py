@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -39,6 +40,7 @@ def texts(spark: SparkSession, sf: str) -> DataFrame:
     return documents(spark, sf).select("id", "text").repartition("id")
 
 
+@cache
 def dictionaries(spark: SparkSession) -> Dictionaries:
     return Dictionaries(
         term_map(spark, P.ENGLISH), term_map(spark, P.SLANG), word_list(spark, P.WRONG), word_list(spark, P.STOP)
