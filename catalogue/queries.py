@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cache
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
@@ -265,7 +265,7 @@ SIX_FIELDS = ["company_type", "company_industry", "company_size", "country", "wo
 def recommend_full(spark, sf):
     companies = document_companies(spark, sf)
     fitted = fit_index(companies.select("id", "tokens"), "id", "tokens", "smooth", features.MAX_TERMS)
-    prepared = Pipeline(stages=features.feature_stages(SIX_FIELDS, fitted.vocab)).fit(companies)
+    prepared = features.fit_features(companies, SIX_FIELDS, fitted.vocab)
     # The features are read by every pass of the two fits below.
     data = materialize(prepared.transform(companies).select("id", "features"), "features")
     kmeans = KMeans(k=5, seed=features.SEED, featuresCol="features", predictionCol="cluster").fit(data)

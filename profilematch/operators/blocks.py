@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 # The kernels travel with the job, so executors need numpy and pyarrow but not this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -47,8 +49,23 @@ def score_grid(
         )
 
     a = blocked(left, "_lb", left_blocks, "_rb", right_blocks)
+    # Both sides may come from one table, so the right one gets columns of its own.
+    renamed = [f"right_{c}" for c in right.columns]
     b = blocked(right, "_rb", right_blocks, "_lb", left_blocks)
-    return a.groupBy("_lb", "_rb").cogroup(b.groupBy("_lb", "_rb")).applyInArrow(kernel, schema)
+    b = b.select("_lb", "_rb", *[F.col(c).alias(r) for c, r in zip(right.columns, renamed, strict=True)])
+    nothing = to_arrow_schema(_parse_datatype_string(schema)).empty_table()
+
+    def cell(left_rows: pa.Table, right_rows: pa.Table) -> pa.Table:
+        if not len(left_rows) or not len(right_rows):
+            return nothing
+        return kernel(left_rows, right_rows.select(renamed).rename_columns([r[6:] for r in renamed]))
+
+    right_side = b.select(F.col("_lb").alias("_right_lb"), F.col("_rb").alias("_right_rb"), *renamed)
+    return (
+        a.groupBy("_lb", "_rb")
+        .cogroup(right_side.groupBy("_right_lb", "_right_rb"))
+        .applyInArrow(cell, schema)
+    )
 
 
 def vectors(weights: DataFrame) -> DataFrame:
@@ -135,8 +152,6 @@ def cosine_kernel(
     """
 
     def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not len(left) or not len(right):
-            return pa.table({"request_id": left["id"].slice(0, 0), "id": right["id"].slice(0, 0), "sim": pa.array([], pa.float64())})
         right = right.sort_by([("id", "descending" if ties == "asc" else "ascending")])
         scores = dot_products(left, right)
         wanted = scores > 0
@@ -168,8 +183,6 @@ def distance_kernel(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         return flat.astype(np.float64).reshape(len(table), -1)
 
     def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not len(left) or not len(right):
-            return pa.table({"id": left["id"].slice(0, 0), "neighbour": right["id"].slice(0, 0), "label": right["label"].slice(0, 0), "distance": pa.array([], pa.float64())})
         right = right.sort_by("id")
         a, b = dense(left), dense(right)
         distances = np.empty((len(left), len(right)))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml.base import Estimator, Transformer
+from py4j.protocol import Py4JJavaError
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.base import Transformer
 from pyspark.ml.feature import (
     PCA,
     CountVectorizerModel,
@@ -17,13 +19,15 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from profilematch.session import fits
+from profilematch.session import fits, materialize
 
 # Fixed values.
 MAX_TERMS = 500
 PCA_COMPONENTS = 50
 SEED = 42
 
+PCA_SCALES = (1.0, 7.3, 0.37, 53.0, 0.019)
+
 MAX_ENCODED_COLUMNS = 10_000
 
 
@@ -64,34 +68,51 @@ def one_hot_wide(df: DataFrame, id_col: str, fields: list[str], encoded: DataFra
     return df.select(id_col, *columns)
 
 
-def feature_stages(
-    fields: list[str], vocab: DataFrame, components: int = PCA_COMPONENTS
-) -> list[Estimator | Transformer]:
-    """Stages from the fields and ``tokens`` to centred PCA ``features``.
+def fit_features(
+    data: DataFrame, fields: list[str], vocab: DataFrame, components: int = PCA_COMPONENTS
+) -> PipelineModel:
+    """Fitted stages from the fields and ``tokens`` to centred PCA ``features``.
 
     ``vocab``: (term, idf), capped, so it is small. Null and unseen field values encode to zeros.
     """
     if not fits(vocab, MAX_ENCODED_COLUMNS):
         raise ValueError(f"more than {MAX_ENCODED_COLUMNS} terms: cap the vocabulary")
     terms = vocab.orderBy("term").collect()
-    count = CountVectorizerModel.from_vocabulary([r["term"] for r in terms], inputCol="tokens", outputCol="_tf")
     idf = Vectors.dense([r["idf"] for r in terms])
     indexed = [f"_{f}_index" for f in fields]
     encoded = [f"_{f}_hot" for f in fields]
-    return [
-        StringIndexer(inputCols=fields, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
-        count,
-        ElementwiseProduct(scalingVec=idf, inputCol="_tf", outputCol="_tfidf"),
-        Normalizer(p=2.0, inputCol="_tfidf", outputCol="_text"),
-        VectorAssembler(inputCols=[*encoded, "_text"], outputCol="_all"),
-        *pca_stages("_all", components),
-    ]
-
-
-def pca_stages(input_col: str, components: int = PCA_COMPONENTS, output_col: str = "features") -> list[Estimator]:
-    """PCA on centred input; the projection itself does not centre."""
-    return [
-        StandardScaler(withMean=True, withStd=False, inputCol=input_col, outputCol="_centred"),
-        PCA(k=components, inputCol="_centred", outputCol=output_col),
-    ]
+    prepared = Pipeline(
+        stages=[
+            StringIndexer(inputCols=fields, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
+            OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
+            CountVectorizerModel.from_vocabulary([r["term"] for r in terms], inputCol="tokens", outputCol="_tf"),
+            ElementwiseProduct(scalingVec=idf, inputCol="_tf", outputCol="_tfidf"),
+            Normalizer(p=2.0, inputCol="_tfidf", outputCol="_text"),
+            VectorAssembler(inputCols=[*encoded, "_text"], outputCol="_all"),
+        ]
+    ).fit(data)
+    assembled = materialize(prepared.transform(data).select("_all"), "assembled")
+    return PipelineModel(stages=[*prepared.stages, *fit_centred_pca(assembled, "_all", components)])
+
+
+def fit_centred_pca(
+    data: DataFrame, input_col: str, components: int = PCA_COMPONENTS, output_col: str = "features"
+) -> list[Transformer]:
+    """Fitted stages for PCA on centred input; MLlib's projection itself does not centre.
+
+    Its decomposition may fail to converge on a covariance of low rank. The components do not depend on
+    the scale of the input, so another scale is tried then, and taken out of the result again.
+    """
+    scaler = StandardScaler(withMean=True, withStd=False, inputCol=input_col, outputCol="_centred").fit(data)
+    centred = scaler.transform(data)
+    size, k = scaler.mean.size, min(components, scaler.mean.size)
+    for scale in PCA_SCALES:
+        scaled = ElementwiseProduct(scalingVec=Vectors.dense([scale] * size), inputCol="_centred", outputCol="_scaled")
+        back = ElementwiseProduct(scalingVec=Vectors.dense([1 / scale] * k), inputCol="_scores", outputCol=output_col)
+        pca = PCA(k=k, inputCol="_scaled", outputCol="_scores")
+        try:
+            return [scaler, scaled, pca.fit(scaled.transform(centred)), back]
+        except Py4JJavaError as error:
+            if "NotConvergedException" not in str(error):
+                raise
+    raise ArithmeticError(f"PCA of {input_col} did not converge at any scale of {PCA_SCALES}")

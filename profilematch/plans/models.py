@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.base import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from profilematch.functions.scores import accuracy
 from profilematch.operators.blocks import distance_kernel, n_blocks, score_grid
-from profilematch.operators.features import SEED, pca_stages
+from profilematch.operators.features import SEED, fit_centred_pca
 from profilematch.session import fits, materialize
 
 TRAIN_PERCENT = 80
@@ -44,7 +44,7 @@ def classifiers() -> dict[str, Estimator]:
         "Logistic Regression": LogisticRegression(),
         "Naive Bayes": NaiveBayes(modelType="gaussian"),
         "Decision Tree": DecisionTreeClassifier(seed=SEED),
-        "SVM": OneVsRest(classifier=LinearSVC()),
+        "SVM": OneVsRest(classifier=LinearSVC(maxIter=20), parallelism=4),
     }
 
 
@@ -81,13 +81,9 @@ def best_model(results: DataFrame) -> DataFrame:
     return ordered.select(F.col("model").alias("best_model"), F.col("accuracy").alias("best_accuracy"))
 
 
-def fit_pipeline(stages: list, classifier: Estimator, data: DataFrame) -> PipelineModel:
-    return Pipeline(stages=[*stages, classifier]).fit(data)
-
-
 def pca_project(data: DataFrame, id_col: str, vector_col: str, components: int) -> DataFrame:
     """(id, pca): centred PCA scores. The sign of a component is arbitrary."""
-    fitted = Pipeline(stages=pca_stages(vector_col, components, "pca")).fit(data)
+    fitted = PipelineModel(stages=fit_centred_pca(data, vector_col, components, "pca"))
     return fitted.transform(data).select(id_col, vector_to_array("pca").alias("pca"))
 
 
@@ -148,7 +144,9 @@ def top_clusters(data: DataFrame, id_col: str, vector_col: str, centres: DataFra
         F.transform(
             "_c",
             lambda c: F.struct(
-                F.round(_distance(F.col("_v"), c["centroid"]), 8).alias("distance"), c["label"].alias("cluster")
+                F.round(_distance(F.col("_v"), c["centroid"]), 8).alias("key"),
+                c["label"].alias("cluster"),
+                _distance(F.col("_v"), c["centroid"]).alias("distance"),
             ),
         )
     )
@@ -175,7 +173,7 @@ def word_vectors(docs: DataFrame, size: int = 50, min_count: int = 5) -> DataFra
 
 def word2vec_similar(vectors: DataFrame, requests: DataFrame, top_n: int = 5) -> DataFrame:
     """(request_id, rank, id, similarity) for asked (id); cosine from the distance of unit vectors."""
-    asked = vectors.join(requests.select("id").distinct(), "id", "left_semi")
+    asked = vectors.join(requests.select(F.col("id").alias("_asked")).distinct(), F.col("id") == F.col("_asked"), "left_semi")
     found = nearest(asked, vectors.withColumn("label", F.lit(0)), top_n + 1).where("id != neighbour")
     order = W.partitionBy("id").orderBy("rank")
     return (
