@@ -21,7 +21,7 @@ from profilematch.operators.tfidf import Index, fit_index
 from profilematch.plans import find, models, recommend, reports
 from profilematch.plans.requests import attach_companies, route_requests, unmatched_requests
 from profilematch.plans.search import search, tokenize
-from profilematch.session import materialize
+from profilematch.session import materialize, spread
 from profilematch.sources.dictionaries import term_map, word_list
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,11 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").withColumnRenamed("doc_id", "id")
 
 
+def some_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """(id, text) on all cores, for work inside the row."""
+    return spread(documents(spark, sf).select("id", "text"), "id")
+
+
 def texts(spark: SparkSession, sf: str) -> DataFrame:
     """(id, text), partitioned by id before any text is processed."""
     return documents(spark, sf).select("id", "text").repartition("id")
@@ -48,10 +53,15 @@ def dictionaries(spark: SparkSession) -> Dictionaries:
 
 
 def raw_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    """(id, tokens): word tokens of the raw text."""
+    """(id, tokens): word tokens of the raw text, partitioned by id."""
     return texts(spark, sf).select("id", T.tokens_word("text").alias("tokens"))
 
 
+def some_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """(id, tokens) for counts over the whole corpus, which need no partitioning by id."""
+    return some_texts(spark, sf).select("id", T.tokens_word("text").alias("tokens"))
+
+
 def corpus(spark: SparkSession, sf: str, model: str) -> DataFrame:
     """(id, tokens): tokens of the normalised text."""
     return tokenize(texts(spark, sf), "id", "text", model, dictionaries(spark)).select("id", "tokens")
@@ -70,12 +80,12 @@ def benchmark_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clean_text(spark, sf):
-    return documents(spark, sf).select("id", T.clean_text("text").alias("cleaned"))
+    return some_texts(spark, sf).select("id", T.clean_text("text").alias("cleaned"))
 
 
 def all_texts(spark, sf):
     """Documents, conversation turns, and the turns without their ASCII letters."""
-    docs = documents(spark, sf).select(F.lit("document").alias("kind"), "id", "text")
+    docs = some_texts(spark, sf).select(F.lit("document").alias("kind"), "id", "text")
     turns = table(spark, sf, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text")
     accents = F.regexp_replace(F.lower("text"), "[a-z]", "")
     return docs.unionByName(turns.select(F.lit("turn").alias("kind"), "id", "text")).unionByName(
@@ -94,12 +104,12 @@ def normalize(spark, sf):
 
 def tokens_ws(spark, sf):
     t = T.tokens_ws(T.clean_text("text"))
-    return documents(spark, sf).select("id", F.size(t).alias("n_tokens"), F.array_join(t, "|").alias("tokens"))
+    return some_texts(spark, sf).select("id", F.size(t).alias("n_tokens"), F.array_join(t, "|").alias("tokens"))
 
 
 def tokens_word(spark, sf):
     t = T.tokens_word("text")
-    return documents(spark, sf).select("id", F.size(t).alias("n_tokens"), F.array_join(t, "|").alias("tokens"))
+    return some_texts(spark, sf).select("id", F.size(t).alias("n_tokens"), F.array_join(t, "|").alias("tokens"))
 
 
 def combined_text(spark, sf):
@@ -119,17 +129,17 @@ def term_counts(spark, sf):
 
 def term_frequency_top(spark, sf):
     """Word-cloud data: the 100 most frequent terms."""
-    return tfidf.top_terms(raw_tokens(spark, sf), 100)
+    return tfidf.top_terms(some_tokens(spark, sf), 100)
 
 
 def vocab_top500(spark, sf):
-    return tfidf.top_terms(raw_tokens(spark, sf), 500)
+    return tfidf.top_terms(some_tokens(spark, sf), 500)
 
 
 def _idf(formula: str) -> Query:
     def run(spark, sf):
-        docs = raw_tokens(spark, sf)
-        n_docs = docs.agg(F.count(F.lit(1))).scalar()
+        docs = some_tokens(spark, sf)
+        n_docs = documents(spark, sf).agg(F.count(F.lit(1))).scalar()
         vocab = tfidf.with_idf(tfidf.document_frequencies(docs), n_docs, formula)
         return vocab.select("term", "df", F.round("idf", 8).alias("idf"))
 
@@ -446,7 +456,8 @@ def centroids(spark, sf):
 
 
 def sentiment_by_group(spark, sf):
-    docs = documents(spark, sf).select("source", T.tokens_word("text").alias("tokens"))
+    docs = spread(documents(spark, sf).select("id", "source", "text"), "id")
+    docs = docs.select("source", T.tokens_word("text").alias("tokens"))
     lexicon = spark.createDataFrame(list(P.POLARITY.items()), "term string, polarity int")
     shares = reports.sentiment(docs, "source", lexicon)
     return shares.select("group", *[F.round(c, 8).alias(c) for c in ("positive", "neutral", "negative")], "sentiment")

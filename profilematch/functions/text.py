@@ -17,7 +17,8 @@ UNIT_WORDS = ("g", "ml")
 _OTHER_SPACES = r"\x09-\x0d\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 WHITESPACE = rf"[\x20{_OTHER_SPACES}]+"
 # Runs other than one plain space: the same result when replaced by a space, with far fewer matches.
-ODD_WHITESPACE = rf"[{_OTHER_SPACES}][\x20{_OTHER_SPACES}]*|\x20[\x20{_OTHER_SPACES}]+"
+# The look-ahead turns printable ASCII away with one range test instead of the whole class.
+ODD_WHITESPACE = rf"(?![!-~])(?:[{_OTHER_SPACES}][\x20{_OTHER_SPACES}]*|\x20(?![!-~])[\x20{_OTHER_SPACES}]+)"
 LEADING_BULLETS = "^[•●·–—]+"
 ACCENTED = "[^à-ỹ]+"
 ASCII_LETTERS = "[^a-z]+"

@@ -37,29 +37,31 @@ def _idf(formula: str, n: Column) -> Column:
     raise ValueError(f"formula must be one of {FORMULAS}, not {formula!r}")
 
 
+def exploded(docs: DataFrame, *keep: str, tokens: str | Column = "tokens") -> DataFrame:
+    """One row (keep..., term) per token.
+
+    The outer form of explode: the inner one makes the optimizer test the size of the array in a filter of
+    its own, which tokenises every text a second time.
+    """
+    return docs.select(*keep, F.explode_outer(tokens).alias("term")).where("term is not null")
+
+
 def term_counts(docs: DataFrame, partitioned: bool = False) -> DataFrame:
     """(id, term, tf) from (id, tokens), partitioned by id; ``partitioned`` says that ``docs`` already is."""
     docs = docs.select("id", "tokens")
-    return (
-        (docs if partitioned else docs.repartition("id"))
-        # The outer form: the inner one makes the optimizer test the size of the array in a filter of its
-        # own, which tokenises every text a second time.
-        .select("id", F.explode_outer("tokens").alias("term"))
-        .where("term is not null")
-        .groupBy("id", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    terms = exploded(docs if partitioned else docs.repartition("id"), "id")
+    return terms.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def document_frequencies(docs: DataFrame) -> DataFrame:
     """(term, df). Repeats are dropped inside the row, so only map-side combined counts shuffle."""
-    terms = docs.select(F.explode(F.array_distinct("tokens")).alias("term"))
+    terms = exploded(docs, tokens=F.array_distinct("tokens"))
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 def corpus_counts(tokens: DataFrame) -> DataFrame:
     """(term, n): how often each term occurs in the whole corpus."""
-    return tokens.select(F.explode("tokens").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return exploded(tokens).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def top_terms(docs: DataFrame, k: int) -> DataFrame:
@@ -166,7 +168,7 @@ def attach_idf(counts: DataFrame, vocab: DataFrame, max_broadcast_terms: int) ->
 
 def request_counts(requests: DataFrame) -> DataFrame:
     """(request_id, term, tf) from (request_id, tokens)."""
-    terms = requests.select("request_id", F.explode("tokens").alias("term"))
+    terms = exploded(requests, "request_id")
     return terms.groupBy("request_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from profilematch.functions.scores import clip01, fixed, percent
 from profilematch.operators.features import field_values
+from profilematch.operators.tfidf import exploded
 from profilematch.plans.models import best_model
 from profilematch.session import fits
 from profilematch.sources.results import read_results_csv, read_results_json, read_training_meta
@@ -89,7 +90,7 @@ def sentiment(docs: DataFrame, group_col: str, lexicon: DataFrame) -> DataFrame:
     Shares of tokens by the sign of their polarity; a token outside the lexicon is neutral. The label
     is the sign of the summed polarity.
     """
-    tokens = docs.select(F.col(group_col).alias("group"), F.explode("tokens").alias("term"))
+    tokens = exploded(docs.withColumnRenamed(group_col, "group"), "group")
     # Words are counted before the lookup, so a large group shuffles its distinct words only.
     counts = tokens.groupBy("group", "term").agg(F.count(F.lit(1)).alias("n"))
     known = F.broadcast(lexicon) if fits(lexicon, MAX_LEXICON) else lexicon

@@ -69,6 +69,17 @@ def read_bucketed(spark: SparkSession, path: str, key: str, buckets: int) -> Dat
     return spark.table(name)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Partition by ``key`` when the input has fewer partitions than the cluster has cores.
+
+    Meant for a table in one or two files, which would leave most cores idle. Large inputs stay as they
+    are, without a shuffle.
+    """
+    if df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism:
+        return df.repartition(key)
+    return df
+
+
 def fits(df: DataFrame, bound: int) -> bool:
     """Whether ``df`` has at most ``bound`` rows; reads no more than that."""
     return df.limit(bound + 1).count() <= bound
