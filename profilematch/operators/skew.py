@@ -5,20 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from profilematch.session import fits
-
 SALTS = 32
 MAX_BROADCAST_ROWS = 100_000
 
 
 def expand_join(
-    many: DataFrame, one: DataFrame, on: str, salt_by: str, how: str = "inner", max_rows: int = MAX_BROADCAST_ROWS
+    many: DataFrame, one: DataFrame, on: str, salt_by: str, small: bool, how: str = "inner"
 ) -> DataFrame:
     """Join many rows per key to one row per key: broadcast when ``one`` is small, salted otherwise.
 
-    ``salt_by`` is a column of ``many`` that spreads the rows of one key.
+    ``small`` comes from a count of the keys that the caller has at hand: counting ``one`` itself would run
+    the whole job before it. ``salt_by`` is a column of ``many`` that spreads the rows of one key.
     """
-    if fits(one.select(on), max_rows):
+    if small:
         return many.join(F.broadcast(one), on, how)
     salted_many = many.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int"))
     salted_one = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

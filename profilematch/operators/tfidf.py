@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from profilematch.session import fits, materialize, materialize_by, read_bucketed, write_bucketed
+from profilematch.session import bucket_count, fits, materialize, materialize_by, read_bucketed, write_bucketed
 
 FORMULAS = ("log2", "smooth")
 # A vocabulary up to this many rows is broadcast whole; of a larger one, this many of its most
@@ -91,7 +91,7 @@ class Index:
         self.ids.write.mode("overwrite").parquet(os.path.join(path, "ids"))
         self.vocab.write.mode("overwrite").parquet(os.path.join(path, "vocab"))
         write_bucketed(self.weights, os.path.join(path, "weights"), "id")
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = bucket_count(spark)
         meta = spark.range(1).select(F.lit(self.formula).alias("formula"), F.lit(buckets).alias("buckets"))
         meta.write.mode("overwrite").json(os.path.join(path, "meta"))
 

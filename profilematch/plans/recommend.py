@@ -16,7 +16,7 @@ from profilematch.operators.similarity import (
     fill_short_lists,
     rank_best,
 )
-from profilematch.operators.skew import expand_join
+from profilematch.operators.skew import MAX_BROADCAST_ROWS, expand_join
 from profilematch.operators.tfidf import Index, request_counts, request_weights
 from profilematch.plans.requests import RECOMMEND_LIMIT, threshold_column
 from profilematch.plans.search import corpus_sizes, tokenize
@@ -66,7 +66,9 @@ def retrieve(
         .groupBy("cluster")
         .agg(F.sort_array(F.collect_list("id")).alias("head"))
     )
-    wanted = expand_join(per_request, heads, "cluster", "request_id", how="left").withColumn("top_n", F.lit(limit))
+    few_clusters = fits(clusters.select("cluster").distinct(), MAX_BROADCAST_ROWS)
+    wanted = expand_join(per_request, heads, "cluster", "request_id", few_clusters, how="left")
+    wanted = wanted.withColumn("top_n", F.lit(limit))
     padding = F.when((F.col("threshold") <= 0) & F.col("head").isNotNull(), F.col("head"))
     filled = fill_short_lists(ranked, wanted, padding)
     return filled.join(per_request.select("request_id", "cluster"), "request_id").select(

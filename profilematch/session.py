@@ -51,8 +51,15 @@ def materialize_by(df: DataFrame, label: str, key: str) -> DataFrame:
     return write_bucketed(df, path, key)
 
 
+def bucket_count(spark: SparkSession) -> int:
+    """As many buckets as shuffle partitions, so that a partition by the key is a bucket; fewer where that
+    number was left far above what the cores can use."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(partitions, 4 * spark.sparkContext.defaultParallelism)
+
+
 def write_bucketed(df: DataFrame, path: str, key: str) -> DataFrame:
-    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = bucket_count(df.sparkSession)
     name = "profilematch_" + uuid.uuid4().hex
     df.write.mode("overwrite").option("path", path).bucketBy(buckets, key).saveAsTable(name)
     return df.sparkSession.table(name)

@@ -119,3 +119,13 @@ def test_no_nested_loop_and_no_python_in_search(spark, indexes, capsys):
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "PandasUDF"):
         assert bad not in plan
     assert "WindowGroupLimit" in plan
+
+
+def test_salted_expansion_equals_broadcast(spark):
+    from profilematch.operators.skew import expand_join
+
+    many = spark.range(200).withColumn("k", F.when(F.col("id") < 150, 0).otherwise(F.col("id") % 5))
+    one = spark.createDataFrame([(k, f"v{k}") for k in range(4)], "k long, v string")
+    for how in ("inner", "left"):
+        found = [sorted(map(tuple, expand_join(many, one, "k", "id", s, how).collect()), key=str) for s in (True, False)]
+        assert found[0] == found[1]
