@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilematch.llm import chat, quality_rules
+from profilematch.llm import chat, quality_rules, substring_dedup, suffix_dedup
 from profilematch.llm.common import read_table
 from profilematch.session import spread
 
@@ -15,6 +15,16 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spread(read_table(spark, sf, "documents"), "doc_id")
 
 
+def substrings(spark: SparkSession, sf: str) -> DataFrame:
+    out = substring_dedup.dedup_substrings(documents(spark, sf).select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def repeated_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    out = suffix_dedup.dedup_bytes(documents(spark, sf).select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     turns = read_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     marks = "</s>[INST] ok [/INST]"
@@ -43,6 +53,8 @@ def quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_substring_dedup": substrings,
+    "op6_suffix_dedup": repeated_bytes,
     "op7_chat_formatting": chat_formatting,
     "op8_quality_rules": quality,
 }
