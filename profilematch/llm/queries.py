@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilematch.llm import chat, quality_rules, substring_dedup, suffix_dedup
+from profilematch.llm import bpe, chat, decontaminate, quality_rules, secrets, substring_dedup, suffix_dedup
 from profilematch.llm.common import read_table
 from profilematch.session import spread
 
@@ -15,6 +15,44 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spread(read_table(spark, sf, "documents"), "doc_id")
 
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    out = secrets.scan(documents(spark, sf).select("doc_id", "text"))
+    count = lambda kind: F.size(secrets.of_kinds(F.col("spans"), kind)).cast("long").alias(f"n_{kind}")
+    base = secrets.spans_text(secrets.of_kinds(F.col("spans"), *secrets.BASE_KINDS))
+    return out.select(
+        "doc_id",
+        *[count(kind) for kind in secrets.BASE_KINDS],
+        F.sha2(base, 256).alias("base_sha256"),
+        secrets.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
+def bpe_encoding(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    out = bpe.encode(documents(spark, sf).select("doc_id", "text"), public_tokenizers.path(TOKENIZER))
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf).select("doc_id", "text")
+    out = decontaminate.find_matches(docs, read_table(spark, sf, "benchmark"))
+    return out.select(
+        "doc_id",
+        (F.size("matches") > 0).alias("contaminated"),
+        F.transform("matches", lambda m: m["item_id"]).alias("item_ids"),
+        F.array_max(F.transform("matches", lambda m: m["n_tokens"])).alias("longest_overlap"),
+    )
+
+
 def substrings(spark: SparkSession, sf: str) -> DataFrame:
     out = substring_dedup.dedup_substrings(documents(spark, sf).select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -53,8 +91,11 @@ def quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_secret_scan": secret_scan,
+    "op3_bpe_encoding": bpe_encoding,
     "op4_substring_dedup": substrings,
     "op6_suffix_dedup": repeated_bytes,
     "op7_chat_formatting": chat_formatting,
     "op8_quality_rules": quality,
+    "op10_decontamination": decontamination,
 }
