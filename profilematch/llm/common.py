@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from profilematch.llm import hashing as H
 from profilematch.session import materialize
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -69,6 +70,21 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+_APART = np.ones(256, bool)
+_APART[128:] = False
+_APART[list(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = False
+
+
+def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens, and the text of each: runs of letters and digits in lower case.
+
+    Every character beyond ASCII counts as a letter.
+    """
+    data, offsets = text_bytes(pc.utf8_lower(column.cast(pa.large_string())))
+    starts, ends, doc = H.word_spans(data, offsets, _APART)
+    return H.word_hashes(data, starts, ends), doc
+
+
 def int_lists(counts: np.ndarray, values: pa.Array) -> pa.Array:
     """A list array with ``counts[i]`` of ``values`` in row i."""
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), values)

@@ -20,13 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from profilematch.llm import hashing as H
-from profilematch.llm.common import slices, text_bytes
+from profilematch.llm.common import slices, tokens
 
 U = np.uint64
 #: Fixed masks; the last one is for items that are shorter than the others' span.
@@ -40,17 +39,6 @@ OVERLAP = 256
 BITS = 20
 
 _FACTORS = np.random.default_rng(20240608).integers(1, 2**63, SPAN, dtype=np.int64).astype(U) * U(2) + U(1)
-_APART = np.ones(256, bool)
-_APART[128:] = False
-for _c in b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ":
-    _APART[_c] = False
-
-
-def tokens(column: pa.Array):
-    """Token hashes of all texts, and the text of each token."""
-    data, offsets = text_bytes(pc.utf8_lower(column.cast(pa.large_string())))
-    starts, ends, doc = H.word_spans(data, offsets, _APART)
-    return H.word_hashes(data, starts, ends), doc
 
 
 def seeds(units: np.ndarray, mask: str) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilematch.llm import bpe, chat, decontaminate, quality_rules, secrets, substring_dedup, suffix_dedup
+from profilematch.llm import bpe, chat, decontaminate, near_dedup, quality_rules, secrets, substring_dedup, suffix_dedup
 from profilematch.llm.common import read_table
 from profilematch.session import spread
 
@@ -15,6 +15,10 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spread(read_table(spark, sf, "documents"), "doc_id")
 
 
+def near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup.classes(documents(spark, sf).select("doc_id", "text")).select("doc_id", "class_id", "class_size")
+
+
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -91,6 +95,7 @@ def quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_dedup": near_duplicates,
     "op2_secret_scan": secret_scan,
     "op3_bpe_encoding": bpe_encoding,
     "op4_substring_dedup": substrings,
