@@ -70,9 +70,9 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-_APART = np.ones(256, bool)
-_APART[128:] = False
-_APART[list(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = False
+APART = np.ones(256, bool)
+APART[128:] = False
+APART[list(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = False
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -81,7 +81,7 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     Every character beyond ASCII counts as a letter.
     """
     data, offsets = text_bytes(pc.utf8_lower(column.cast(pa.large_string())))
-    starts, ends, doc = H.word_spans(data, offsets, _APART)
+    starts, ends, doc = H.word_spans(data, offsets, APART)
     return H.word_hashes(data, starts, ends), doc
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilematch.llm import bpe, chat, decontaminate, near_dedup, quality_rules, secrets, substring_dedup, suffix_dedup
+import corpus_pipeline
+from profilematch.llm import bpe, chat, decontaminate, near_dedup, quality_model, quality_rules, samples
+from profilematch.llm import secrets, substring_dedup, suffix_dedup, toxicity
 from profilematch.llm.common import read_table
 from profilematch.session import spread
 
@@ -67,6 +69,21 @@ def repeated_bytes(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def _scores(spark: SparkSession, sf: str, operator, parts: int, held_out: int) -> DataFrame:
+    docs, labels = documents(spark, sf).select("doc_id", "text"), read_table(spark, sf, "labels")
+    model = operator.fit(docs, labels, samples.fold(parts) != held_out)
+    held = F.coalesce(samples.fold(parts) == held_out, F.lit(False)).alias("held_out")
+    return operator.score(docs, model).select("doc_id", held, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def toxic_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return _scores(spark, sf, toxicity, 5, 0)
+
+
+def quality_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return _scores(spark, sf, quality_model, 3, 1)
+
+
 def chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     turns = read_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     marks = "</s>[INST] ok [/INST]"
@@ -99,8 +116,11 @@ QUERIES = {
     "op2_secret_scan": secret_scan,
     "op3_bpe_encoding": bpe_encoding,
     "op4_substring_dedup": substrings,
+    "op5_toxicity": toxic_scores,
     "op6_suffix_dedup": repeated_bytes,
     "op7_chat_formatting": chat_formatting,
     "op8_quality_rules": quality,
+    "op9_quality_classifier": quality_scores,
     "op10_decontamination": decontamination,
+    "pipeline": corpus_pipeline.run,
 }
