@@ -9,10 +9,10 @@ Improved consistent weighted sampling (Ioffe, 2010) draws SAMPLES pairs (shingle
 sample with their weighted Jaccard similarity as probability. Its random numbers come from a fixed table by shingle
 hash. ROWS samples make a band. Texts with equal tokens are one node; nodes that share a band are candidates:
 
-- Each band compares its least node (the pivot) with the others, and links are verified on the texts. What is not like
-  its pivot stays for the next round with a new pivot, until no band has two nodes left. No pairs of a group are listed.
-- A band whose remaining nodes are many and unlike each other (texts around one shared passage) is split: its nodes
-  must share one more band. Pairs of 0.8 or more share 6.5 of 16 bands on average.
+- Each band compares its least node (the pivot) with the others, and links are verified on the texts.
+- What is not like its pivot goes on to the next round, where nodes must share one more (later) band, with a new pivot.
+  Pairs of 0.8 or more share 6.5 of 16 bands on average; texts around one shared passage soon part. No pairs of a
+  group are listed, and there are at most as many rounds as bands.
 
 Components of the links are the classes; a class is named by its least doc_id.
 
@@ -45,7 +45,6 @@ WIDTH = 1 << 18
 BLOCKS = 64
 FREQUENT = 0.005
 TABLE = 1 << 14
-CROWD = 32
 PIECE = 2048
 
 _random = np.random.default_rng(20240609)
@@ -227,15 +226,16 @@ def _verified(pairs: DataFrame, texts: DataFrame, levels: np.ndarray, threshold:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _pivots(rows: DataFrame) -> DataFrame:
-    """(key, pivot, size) of each key with two nodes or more."""
-    return rows.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("size")).where("size > 1")
+def _held(rows: DataFrame) -> DataFrame:
+    """Rows of keys with two nodes or more, without the pivot itself: (key, node, weight, band, pivot)."""
+    least = rows.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("size")).where("size > 1")
+    return rows.join(least.drop("size"), "key").where("node <> pivot")
 
 
-def _split(crowd: DataFrame, bands_of: DataFrame) -> DataFrame:
-    """Rows of crowded keys, once for each later band of their node; nodes must share that band as well."""
-    later = bands_of.select("node", F.col("band").alias("next"), "hash").alias("l")
-    joined = crowd.join(later, "node").where("next > band")
+def _narrowed(left: DataFrame, bands_of: DataFrame) -> DataFrame:
+    """Rows that remain, once for each later band of their node: nodes must share that band as well."""
+    later = bands_of.select("node", F.col("band").alias("next"), "hash")
+    joined = left.select("key", "node", "weight", "band").join(later, "node").where("next > band")
     return joined.select(F.xxhash64("key", "hash").alias("key"), "node", "weight", F.col("next").alias("band"))
 
 
@@ -243,36 +243,27 @@ def links(signed: DataFrame, docs: DataFrame, levels: np.ndarray, threshold: flo
     """(a, b): verified links between nodes (a the lesser)."""
     one = signed.groupBy("node").agg(F.min(F.struct("doc_id", "row", "weight", "bands")).alias("one"))
     bands_of = stored(
-        one.select("node", "one.*").select("node", "doc_id", "row", "weight", F.posexplode("bands").alias("band", "hash")), "bands"
+        one.select("node", "one.*").select("node", "doc_id", "row", "weight", F.posexplode("bands").alias("band", "hash")),
+        "bands",
     )
-    rows = bands_of.select(F.col("hash").alias("key"), "node", "weight", "band")
-    shared = _pivots(rows).select("key")
-    rows = stored(rows.join(shared, "key"), "shared")
-    wanted = bands_of.join(rows.select("node").distinct(), "node").select("node", "doc_id", "row").distinct()
-    texts = docs.select("doc_id", "row", "text").join(wanted, ["doc_id", "row"]).groupBy("node").agg(F.first("text").alias("text"))
+    held = stored(_held(bands_of.select(F.col("hash").alias("key"), "node", "weight", "band")), "held")
+    met = held.select("node").union(held.select("pivot")).distinct()
+    wanted = bands_of.where("band = 0").join(met, "node").select("node", "doc_id", "row", "weight")
+    texts = docs.join(wanted, ["doc_id", "row"]).groupBy("node").agg(F.first("text").alias("text"), F.first("weight").alias("weight"))
     texts = stored(texts, "texts")
-    found, tested = [], None
-    while True:
-        held = rows.join(_pivots(rows), "key").where("node <> pivot")
-        held = stored(held.select("key", "node", "weight", "band", "pivot", "size"), "held")
-        if held.isEmpty():
-            break
+    heavy = texts.select(F.col("node").alias("a"), F.col("weight").alias("weight_a"))
+    found, tested = [], []
+    while not held.isEmpty():
         pairs = held.select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.col("weight").alias("weight_b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        heavy = bands_of.where("band = 0").select(F.col("node").alias("a"), F.col("weight").alias("weight_a"))
+        for before in tested:
+            pairs = pairs.join(before, ["a", "b"], "left_anti")
         pairs = stored(pairs.join(heavy, "a"), "pairs")
+        tested.append(pairs.select("a", "b"))
         alike = F.least("weight_a", "weight_b") >= (threshold - 1e-9) * F.greatest("weight_a", "weight_b")
         found.append(stored(_verified(pairs.where(alike).select("a", "b"), texts, levels, threshold), "found"))
-        tested = reduce(DataFrame.unionByName, [x for x in (tested, pairs.select("a", "b")) if x is not None])
         linked = reduce(DataFrame.unionByName, found).select(F.col("a").alias("pivot"), F.col("b").alias("node"))
-        left = stored(held.join(linked, ["pivot", "node"], "left_anti").select("key", "node", "weight", "band"), "left")
-        sizes = left.groupBy("key").agg(F.count("*").alias("left"))
-        sized = left.join(sizes, "key")
-        calm = sized.where((F.col("left") > 1) & ((F.col("left") <= CROWD) | (F.col("band") >= BANDS - 1)))
-        crowd = sized.where((F.col("left") > CROWD) & (F.col("band") < BANDS - 1))
-        columns = ["key", "node", "weight", "band"]
-        rows = stored(calm.select(*columns).unionByName(_split(crowd.select(*columns), bands_of)), "rows")
+        left = held.join(linked, ["pivot", "node"], "left_anti")
+        held = stored(_held(_narrowed(left, bands_of)), "held")
     if not found:
         return docs.sparkSession.createDataFrame([], "a long, b long")
     return reduce(DataFrame.unionByName, found)
