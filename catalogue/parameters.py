@@ -13,6 +13,5 @@ POLARITY = {
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
-LANGS = ["de", "en", "es", "fr"]
 RETRIEVAL_THRESHOLD = 0.1
 STRICT_THRESHOLD = 0.35

@@ -102,6 +102,12 @@ def normalize(spark, sf):
     return normalize_text(keyed, "key", "text", dictionaries(spark)).select("kind", "id", "normalized")
 
 
+def normalize_by_join(spark, sf):
+    """The way for dictionaries too large for a constant; ids repeat here."""
+    done = normalize_text(all_texts(spark, sf), "id", "text", dictionaries(spark), max_constant_terms=0)
+    return done.select("kind", "id", "normalized")
+
+
 def tokens_ws(spark, sf):
     t = T.tokens_ws(T.clean_text("text"))
     return some_texts(spark, sf).select("id", F.size(t).alias("n_tokens"), F.array_join(t, "|").alias("tokens"))
@@ -146,9 +152,9 @@ def _idf(formula: str) -> Query:
     return run
 
 
-def _weights(formula: str, max_terms: int | None = None) -> Query:
+def _weights(formula: str, max_terms: int | None = None, **options) -> Query:
     def run(spark, sf):
-        fitted = fit_index(raw_tokens(spark, sf), "id", "tokens", formula, max_terms, partitioned=True)
+        fitted = fit_index(raw_tokens(spark, sf), "id", "tokens", formula, max_terms, partitioned=True, **options)
         return fitted.weights.select("id", "term", F.round("w", 6).alias("w"))
 
     return run
@@ -157,9 +163,10 @@ def _weights(formula: str, max_terms: int | None = None) -> Query:
 # --- search and similar ---------------------------------------------------------------------------
 
 
-def _search(model: str) -> Query:
+def _search(model: str, **options) -> Query:
     def run(spark, sf):
-        found = search(index(spark, sf, model), benchmark_requests(spark, sf), 5, model, dictionaries(spark))
+        asked = benchmark_requests(spark, sf)
+        found = search(index(spark, sf, model), asked, 5, model, dictionaries(spark), **options)
         return found.withColumn("similarity", F.round("similarity", 6))
 
     return run
@@ -208,42 +215,51 @@ def similar_profiles(spark, sf):
     return find.similar_profiles(customer_profiles(spark, sf), 5)
 
 
-def similar_pairs(spark, sf):
-    return find.similar_pairs(customer_profiles(spark, sf), 0.5)
+def _similar_pairs(use_prefixes: bool | None = None) -> Query:
+    def run(spark, sf):
+        return find.similar_pairs(customer_profiles(spark, sf), 0.5, use_prefixes=use_prefixes)
+
+    return run
+
 
+def _similar_pairs_text(use_prefixes: bool | None = None) -> Query:
+    def run(spark, sf):
+        docs = corpus(spark, sf, "A").withColumn("profile", F.sha2(F.array_join("tokens", " "), 256))
+        pairs = find.similar_pairs(docs, 0.5, "B", use_prefixes)
+        return pairs.withColumn("similarity", F.round("similarity", 6))
 
-def similar_pairs_text(spark, sf):
-    docs = corpus(spark, sf, "A").withColumn("profile", F.sha2(F.array_join("tokens", " "), 256))
-    pairs = find.similar_pairs(docs, 0.5, "B")
-    return pairs.withColumn("similarity", F.round("similarity", 6))
+    return run
 
 
 # --- recommend ------------------------------------------------------------------------------------
 
 
+def languages(spark, sf):
+    """All languages of the documents, as one array value."""
+    return documents(spark, sf).agg(F.sort_array(F.collect_set("lang"))).scalar()
+
+
 def clustered_requests(spark, sf, threshold):
     """Every benchmark text, asked in every language cluster."""
-    langs = F.explode(F.array(*[F.lit(x) for x in P.LANGS]))
-    asked = benchmark_requests(spark, sf).withColumn("cluster", langs)
+    asked = benchmark_requests(spark, sf).withColumn("cluster", F.explode(languages(spark, sf)))
     asked = asked.withColumn("request_id", F.concat_ws("-", "request_id", "cluster"))
     return asked.withColumn("tokens", T.tokens_word("query_text")).withColumn("threshold", F.lit(threshold))
 
 
-def _retrieve(spark, sf, threshold):
+def _retrieve(spark, sf, threshold, **options):
     fitted = fit_index(raw_tokens(spark, sf), "id", "tokens", "smooth", 500, partitioned=True)
     clusters = documents(spark, sf).select("id", F.col("lang").alias("cluster"))
-    return recommend.retrieve(fitted, clustered_requests(spark, sf, threshold), clusters)
+    return recommend.retrieve(fitted, clustered_requests(spark, sf, threshold), clusters, **options)
 
 
-def recommend_retrieval(spark, sf):
-    found = _retrieve(spark, sf, P.RETRIEVAL_THRESHOLD)
-    return found.withColumn("similarity_score", F.round("similarity_score", 6))
+def _recommend(threshold: float, **options) -> Query:
+    """At threshold 0, short clusters are filled with companies at score 0."""
 
+    def run(spark, sf):
+        found = _retrieve(spark, sf, threshold, **options)
+        return found.withColumn("similarity_score", F.round("similarity_score", 6))
 
-def recommend_all(spark, sf):
-    """Threshold 0: short clusters are filled with companies at score 0."""
-    found = _retrieve(spark, sf, 0.0)
-    return found.withColumn("similarity_score", F.round("similarity_score", 6))
+    return run
 
 
 def unmatched(spark, sf):
@@ -282,10 +298,11 @@ def recommend_full(spark, sf):
     clustered = materialize(kmeans.transform(data), "clusters")
     classifier = LogisticRegression(labelCol="cluster").fit(clustered)
     pipeline = PipelineModel(stages=[*prepared.stages, classifier])
+    langs = languages(spark, sf)
     asked = benchmark_requests(spark, sf).select(
         "request_id",
         "query_text",
-        F.element_at(F.array(*[F.lit(x) for x in P.LANGS]), (F.col("request_id") % 4 + 1).cast("int")).alias("company_type"),
+        F.element_at(langs, (F.col("request_id") % F.size(langs) + 1).cast("int")).alias("company_type"),
         F.concat(F.lit("src"), F.col("request_id") % 25).alias("company_industry"),
         F.lit("short").alias("company_size"),
         F.lit(None).cast("string").alias("country"),
@@ -497,6 +514,7 @@ QUERIES: dict[str, Query] = {
     "clean_text": clean_text,
     "is_english": is_english,
     "normalize_text": normalize,
+    "normalize_text_join": normalize_by_join,
     "tokens_ws": tokens_ws,
     "tokens_word": tokens_word,
     "combined_text": combined_text,
@@ -507,18 +525,26 @@ QUERIES: dict[str, Query] = {
     "idf_smooth": _idf("smooth"),
     "tfidf_weights_a": _weights("log2"),
     "tfidf_weights_b": _weights("smooth"),
+    "tfidf_weights_a_split": _weights("log2", max_broadcast_terms=200),
     "tfidf_weights_top500": _weights("smooth", 500),
     "search_a": _search("A"),
     "search_b": _search("B"),
+    "search_a_blocks": _search("A", max_broadcast_requests=0),
+    "search_b_blocks": _search("B", max_broadcast_requests=0),
     "search_padded_a": _search_padded("A"),
     "search_padded_b": _search_padded("B"),
     "find_similar_a": _find_similar("A"),
     "find_similar_b": _find_similar("B"),
     "similar_profiles": similar_profiles,
-    "similar_pairs": similar_pairs,
-    "similar_pairs_text": similar_pairs_text,
-    "recommend_retrieval": recommend_retrieval,
-    "recommend_all": recommend_all,
+    "similar_pairs": _similar_pairs(),
+    "similar_pairs_prefixes": _similar_pairs(True),
+    "similar_pairs_grid": _similar_pairs(False),
+    "similar_pairs_text": _similar_pairs_text(),
+    "similar_pairs_text_grid": _similar_pairs_text(False),
+    "recommend_retrieval": _recommend(P.RETRIEVAL_THRESHOLD),
+    "recommend_retrieval_blocks": _recommend(P.RETRIEVAL_THRESHOLD, max_broadcast_requests=0),
+    "recommend_all": _recommend(0.0),
+    "recommend_all_blocks": _recommend(0.0, max_broadcast_requests=0),
     "recommend_full": recommend_full,
     "unmatched_requests": unmatched,
     "one_hot_long": _one_hot(features.one_hot_long),

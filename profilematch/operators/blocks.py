@@ -161,7 +161,8 @@ def cosine_kernel(
             both = pa.concat_arrays([left["grp"].combine_chunks(), right["grp"].combine_chunks()])
             codes = both.dictionary_encode().indices.to_numpy(zero_copy_only=False)
             wanted &= codes[: len(left), None] == codes[None, len(left) :]
-            wanted &= scores >= left["threshold"].to_numpy()[:, None]
+            # Rounded as it is for ranking, so that summation order cannot decide.
+            wanted &= np.rint(scores * SCORE_UNIT) / SCORE_UNIT >= left["threshold"].to_numpy()[:, None]
         # The rounded score, then the position in tie order, as one integer: distinct and exact.
         units = np.rint(scores * SCORE_UNIT).astype(np.int64)
         key = np.where(wanted, units * (1 << 20) + np.arange(len(right)), -1 - np.arange(len(right)))
@@ -175,16 +176,33 @@ def cosine_kernel(
     return kernel
 
 
+def _dense(table: pa.Table) -> np.ndarray:
+    flat = table["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return flat.astype(np.float64).reshape(len(table), -1)
+
+
+def product_kernel(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The k right rows of greatest dot product per left row, itself left out; ties go to the smaller id."""
+
+    def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
+        right = right.sort_by("id")
+        scores = np.round(_dense(left) @ _dense(right).T, 8)
+        scores[left["id"].to_numpy()[:, None] == right["id"].to_numpy()[None, :]] = -np.inf
+        best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+        rows, cols = np.repeat(np.arange(len(left)), best.shape[1]), best.reshape(-1)
+        keep = np.isfinite(scores[rows, cols])
+        rows, cols = rows[keep], cols[keep]
+        return pa.table({"id": left["id"].take(rows), "other": right["id"].take(cols), "sim": pa.array(scores[rows, cols])})
+
+    return kernel
+
+
 def distance_kernel(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """The k nearest right rows per left row by Euclidean distance; ties go to the smaller id."""
 
-    def dense(table: pa.Table) -> np.ndarray:
-        flat = table["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        return flat.astype(np.float64).reshape(len(table), -1)
-
     def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.sort_by("id")
-        a, b = dense(left), dense(right)
+        a, b = _dense(left), _dense(right)
         distances = np.empty((len(left), len(right)))
         # Direct differences, a few left rows at a time: the expanded square loses digits.
         for start in range(0, len(left), 32):

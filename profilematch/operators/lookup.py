@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from profilematch.functions.text import clean_text, is_english, split_words, tokens_ws
-from profilematch.session import fits
+from profilematch.session import fits, materialize
 
 MAX_CONSTANT_TERMS = 50_000
 JOIN_SALTS = 32
@@ -120,22 +120,23 @@ def normalize_text(
     out_col: str = "normalized",
     max_constant_terms: int = MAX_CONSTANT_TERMS,
 ) -> DataFrame:
-    """``df`` plus the normalised text. ``id_col`` must be unique."""
+    """``df`` plus the normalised text, row by row: ids may repeat or be null."""
     lookup = dictionaries.lookup(max_constant_terms)
     if lookup is not None:
         # The cleaned text is used twice; the extra projection keeps one copy of it.
         cleaned = df.withColumn("_clean", clean_text(text_col))
         words = lookup.words(tokens_ws("_clean"), is_english("_clean"))
         return cleaned.withColumn(out_col, F.array_join(words, " ")).drop("_clean")
-    return _normalize_by_join(df, id_col, text_col, compose(dictionaries), out_col)
+    return _normalize_by_join(df, text_col, compose(dictionaries), out_col)
 
 
-def _normalize_by_join(
-    df: DataFrame, id_col: str, text_col: str, composed: DataFrame, out_col: str
-) -> DataFrame:
-    clean = df.select(F.col(id_col).alias("_id"), clean_text(text_col).alias("_clean"))
-    tokens = clean.select(
-        "_id", is_english("_clean").alias("_english"), F.posexplode_outer(tokens_ws("_clean")).alias("_pos", "term")
+def _normalize_by_join(df: DataFrame, text_col: str, composed: DataFrame, out_col: str) -> DataFrame:
+    # Numbered and cleaned once and stored: both readers see the same numbers, and the language is tested
+    # once per text (behind the explode, it would be tested once per token).
+    cleaned = df.withColumn("_id", F.monotonically_increasing_id()).withColumn("_clean", clean_text(text_col))
+    keyed = materialize(cleaned.withColumn("_english", is_english("_clean")), "numbered")
+    tokens = keyed.select(
+        "_id", "_english", F.posexplode_outer(tokens_ws("_clean")).alias("_pos", "term")
     ).withColumn("_salt", F.pmod(F.xxhash64("_id", "_pos"), F.lit(JOIN_SALTS)).cast("int"))
     salted = composed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))))
     out = F.when(F.col("_english"), F.col("en")).otherwise(F.col("other"))
@@ -145,9 +146,9 @@ def _normalize_by_join(
         # One group is the words of one text, which already fitted in one row.
         .groupBy("_id")
         .agg(F.sort_array(F.collect_list(F.struct("_pos", "_word")))["_word"].alias("_words"))
-        .select(F.col("_id").alias(id_col), F.array_join(F.array_remove("_words", ""), " ").alias(out_col))
+        .select("_id", F.array_join(F.array_remove("_words", ""), " ").alias(out_col))
     )
-    return df.join(rebuilt, id_col)
+    return keyed.join(rebuilt, "_id").select(*df.columns, out_col)
 
 
 def replace_emoji(text: Column, emoji: DataFrame, max_emoji: int = MAX_CONSTANT_TERMS) -> Column:

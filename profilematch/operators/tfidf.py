@@ -24,8 +24,7 @@ from pyspark.sql import functions as F
 from profilematch.session import bucket_count, fits, materialize, materialize_by, read_bucketed, write_bucketed
 
 FORMULAS = ("log2", "smooth")
-# A vocabulary up to this many rows is broadcast whole; of a larger one, this many of its most
-# frequent terms are.
+# A vocabulary up to this many rows is broadcast whole; of a larger one, its frequent terms are, at most this many.
 MAX_BROADCAST_TERMS = 2_000_000
 
 
@@ -148,16 +147,16 @@ def unit_weights(counts: DataFrame, vocab: DataFrame, max_broadcast_terms: int =
 def attach_idf(counts: DataFrame, vocab: DataFrame, max_broadcast_terms: int) -> DataFrame:
     """Inner join of postings with ``idf`` on term.
 
-    A hot term may be in most documents, so the postings are never shuffled by hot terms: the most
-    frequent ones are broadcast (their number is fixed), and only the rest, each of which is rarer
-    than all of those, is joined by a shuffle.
+    A hot term may be in most documents, so the postings are never shuffled by hot terms: those with more
+    than a ``max_broadcast_terms``-th of all postings are broadcast (there cannot be more of them than
+    that), and only the rest is joined by a shuffle.
     """
     small = vocab.select("term", "idf")
     if fits(small, max_broadcast_terms):
         return counts.join(F.broadcast(small), "term")
-    order = [F.desc("df"), F.asc("term")]
-    last = vocab.orderBy(*order).limit(max_broadcast_terms).orderBy(F.asc("df"), F.desc("term")).first()
-    is_hot = (F.col("df") > last["df"]) | ((F.col("df") == last["df"]) & (F.col("term") <= last["term"]))
+    # At most max_broadcast_terms terms can have more than this share of all postings.
+    postings = vocab.agg(F.sum("df")).first()[0]
+    is_hot = F.col("df") > postings / max_broadcast_terms
     hot = F.broadcast(vocab.where(is_hot).select("term", "idf"))
     rare = vocab.where(~is_hot).select("term", F.col("idf").alias("rare_idf"))
     marked = counts.join(hot, "term", "left")

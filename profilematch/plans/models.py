@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from profilematch.functions.scores import accuracy
-from profilematch.operators.blocks import distance_kernel, n_blocks, score_grid
+from profilematch.operators.blocks import distance_kernel, n_blocks, product_kernel, score_grid
 from profilematch.operators.features import SEED, fit_centred_pca
 from profilematch.session import fits, materialize
 
@@ -44,7 +44,7 @@ def classifiers() -> dict[str, Estimator]:
         "Logistic Regression": LogisticRegression(),
         "Naive Bayes": NaiveBayes(modelType="gaussian"),
         "Decision Tree": DecisionTreeClassifier(seed=SEED),
-        "SVM": OneVsRest(classifier=LinearSVC(maxIter=20), parallelism=4),
+        "SVM": OneVsRest(classifier=LinearSVC(), parallelism=4),
     }
 
 
@@ -132,23 +132,27 @@ def centroids(data: DataFrame, vector_col: str, label_col: str) -> DataFrame:
     return data.groupBy(F.col(label_col).alias("label")).agg(vector_to_array(mean).alias("centroid"))
 
 
-def top_clusters(data: DataFrame, id_col: str, vector_col: str, centres: DataFrame, n: int = 2) -> DataFrame:
-    """(id, rank, cluster, distance): the n nearest centroids of each row, found inside the row."""
+def top_clusters(
+    data: DataFrame, id_col: str, vector_col: str, centres: DataFrame, n: int = 2, max_centroids: int = MAX_CENTROIDS
+) -> DataFrame:
+    """(id, rank, cluster, distance): the n nearest centroids of each row; ties go to the smaller label.
+
+    Found inside the row while there are few centroids, block by block beyond.
+    """
     stored = materialize(centres, "centroids")
-    if not fits(stored, MAX_CENTROIDS):
-        raise ValueError(f"more than {MAX_CENTROIDS} centroids: use nearest")
+    if not fits(stored, max_centroids):
+        right = stored.select(F.col("label").alias("id"), F.col("centroid").alias("vector"), "label")
+        left = data.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
+        return nearest(left, right, n).select(F.col("id").alias(id_col), "rank", F.col("label").alias("cluster"), "distance")
     table = stored.agg(F.sort_array(F.collect_list(F.struct("label", "centroid"))).alias("c")).scalar()
     v = F.col(vector_col).cast("array<double>")
     with_all = data.select(id_col, v.alias("_v"), table.alias("_c"))
+    measured = F.transform(
+        "_c",
+        lambda c: F.struct(c["label"].alias("cluster"), _distance(F.col("_v"), c["centroid"]).alias("distance")),
+    )
     ranked = F.array_sort(
-        F.transform(
-            "_c",
-            lambda c: F.struct(
-                F.round(_distance(F.col("_v"), c["centroid"]), 8).alias("key"),
-                c["label"].alias("cluster"),
-                _distance(F.col("_v"), c["centroid"]).alias("distance"),
-            ),
-        )
+        F.transform(measured, lambda m: F.struct(F.round(m["distance"], 8).alias("key"), m["cluster"], m["distance"]))
     )
     return with_all.select(id_col, F.posexplode(F.slice(ranked, 1, n)).alias("p", "x")).select(
         id_col, (F.col("p") + 1).alias("rank"), "x.cluster", "x.distance"
@@ -160,11 +164,14 @@ def _distance(a: Column, b: Column) -> Column:
     return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda s, x: s + x))
 
 
-def word_vectors(docs: DataFrame, size: int = 50, min_count: int = 5) -> DataFrame:
-    """(id, vector): unit-length mean word vector of (id, tokens). Training runs on all partitions."""
-    parallel = docs.sparkSession.sparkContext.defaultParallelism
+def word_vectors(docs: DataFrame, size: int = 50, min_count: int = 5, partitions: int = 8) -> DataFrame:
+    """(id, vector): unit-length mean word vector of (id, tokens); zero for a text without a known word.
+
+    ``partitions`` parts are trained side by side and averaged. It is part of the model: other numbers give
+    other vectors, so it does not follow the cluster's size.
+    """
     w2v = Word2Vec(
-        vectorSize=size, minCount=min_count, seed=SEED, numPartitions=parallel, inputCol="tokens", outputCol="_mean"
+        vectorSize=size, minCount=min_count, seed=SEED, numPartitions=partitions, inputCol="tokens", outputCol="_mean"
     )
     fitted = w2v.fit(docs)
     unit = Normalizer(p=2.0, inputCol="_mean", outputCol="_unit")
@@ -172,17 +179,27 @@ def word_vectors(docs: DataFrame, size: int = 50, min_count: int = 5) -> DataFra
 
 
 def word2vec_similar(vectors: DataFrame, requests: DataFrame, top_n: int = 5) -> DataFrame:
-    """(request_id, rank, id, similarity) for asked (id); cosine from the distance of unit vectors."""
+    """(request_id, rank, id, similarity) for asked (id); cosine of unit vectors, 0 for zero vectors."""
     asked = vectors.join(requests.select(F.col("id").alias("_asked")).distinct(), F.col("id") == F.col("_asked"), "left_semi")
-    found = nearest(asked, vectors.withColumn("label", F.lit(0)), top_n + 1).where("id != neighbour")
-    order = W.partitionBy("id").orderBy("rank")
+    kind = dict(vectors.dtypes)["id"]
+    blocks = n_blocks(vectors.count())
+    schema = f"id {kind}, other {kind}, sim double"
+    found = score_grid(
+        asked.select("id", "vector"),
+        vectors.select("id", "vector"),
+        n_blocks(asked.count()),
+        blocks,
+        product_kernel(top_n),
+        schema,
+    )
+    order = W.partitionBy("id").orderBy(F.desc("sim"), "other")
     return (
         found.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= top_n)
         .select(
             F.col("id").alias("request_id"),
             "rank",
-            F.col("neighbour").alias("id"),
-            F.round(1 - F.col("distance") * F.col("distance") / 2, 4).alias("similarity"),
+            F.col("other").alias("id"),
+            F.round("sim", 4).alias("similarity"),
         )
     )

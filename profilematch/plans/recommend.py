@@ -6,6 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, IntegralType, LongType, StringType
 
 from profilematch.functions.text import is_blank
 from profilematch.operators.lookup import Dictionaries
@@ -36,6 +37,10 @@ def retrieve(
     part of the join key, so companies of other clusters are never scored. Scores at the threshold stay.
     """
     asked = requests.select("request_id", "tokens", "cluster", threshold_column(requests).alias("threshold"))
+    shared = _shared_type(asked.schema["cluster"].dataType, clusters.schema["cluster"].dataType)
+    clusters = clusters.withColumn("cluster", F.col("cluster").cast(shared))
+    shown = asked.select("request_id", F.col("cluster").alias("predicted_cluster"))
+    asked = asked.withColumn("cluster", F.col("cluster").cast(shared))
     counts = request_counts(asked)
     small = fits(asked.select("request_id"), max_broadcast_requests) and fits(counts, MAX_BROADCAST_REQUEST_TERMS)
     terms = request_weights(counts, index.vocab, small)
@@ -71,16 +76,23 @@ def retrieve(
     wanted = wanted.withColumn("top_n", F.lit(limit))
     padding = F.when((F.col("threshold") <= 0) & F.col("head").isNotNull(), F.col("head"))
     filled = fill_short_lists(ranked, wanted, padding)
-    return filled.join(per_request.select("request_id", "cluster"), "request_id").select(
+    return filled.join(shown, "request_id").select(
         "request_id",
         "rank",
         "id",
         (F.col("id") + 1).alias("display_no"),
-        F.col("cluster").alias("predicted_cluster"),
+        "predicted_cluster",
         F.col("sim").alias("similarity_score"),
     )
 
 
+def _shared_type(a: DataType, b: DataType) -> DataType:
+    """The type in which clusters of both sides are compared, whichever way the rows meet."""
+    if a == b:
+        return a
+    return LongType() if isinstance(a, IntegralType) and isinstance(b, IntegralType) else StringType()
+
+
 def recommend(
     index: Index,
     pipeline: PipelineModel,
