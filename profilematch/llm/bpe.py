@@ -4,12 +4,12 @@ A rolling hash over 16 bytes cuts texts into chunks of about 1 KB, wherever in a
 shared by many documents falls into the same chunks in all of them. Chunks in two documents or more are counted over
 the corpus, encoded once in a job of their own, and sent to all tasks; there are at most MAX_SHARED of them (the most
 frequent), MAX_CHUNK bytes each. Other chunks, and the words of shared ones, are encoded where they lie; each worker
-keeps what it has encoded word by word (MAX_WORDS at most), so a word is encoded once as long as it stays there.
+keeps the words it has encoded (MAX_WORDS, MAX_RUNS), so a frequent word is encoded once.
 
 A chunk is a head (up to its first white space), whole words, and a tail (after its last). White space ends every
 token of this vocabulary's pre-tokenizer, so whole words encode alike anywhere. At a join, tail and head are put
-together and encoded again with the words around them; the window grows until it agrees, token by token, with what
-stands on both sides. Results equal the tokenizer's own on the whole text.
+together and encoded again in a window with a word on either side. The window has to agree, token by token, with what
+stands there; where it doesn't, it grows to the whole text. Results equal the tokenizer's own on the whole text.
 
 Null texts are empty and give no tokens. Rows are encoded each by itself: repeated rows, null ids and extra columns
 change nothing; columns named like new ones are replaced. Very long words and texts are encoded whole.
@@ -18,6 +18,8 @@ change nothing; columns named like new ones are replaced. Very long words and te
 from __future__ import annotations
 
 import os
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,10 +36,16 @@ ROLL = 16
 AVERAGE = 1024
 MAX_CHUNK = 4096
 MAX_SHARED = 8192
-MAX_WORDS = 150_000
+MAX_WORDS = 200_000
+MAX_RUNS = 250_000
 BATCH_WORDS = 2000
 
 
+#: ASCII without the apostrophe, and the letters of Latin-1: lower case maps them one to one, and none composes.
+PLAIN = re.compile("[!-&(-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+RUNS = re.compile("[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
+
+
 def tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -45,31 +53,64 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+class Kept:
+    """A bounded table in two generations: when the young one is full it becomes the old one, and what is met again
+    moves back, so that the frequent stays."""
+
+    def __init__(self, size: int) -> None:
+        self.size = size
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def missing(self, keys: set) -> set:
+        """The keys that have to be added; all others are in ``young`` afterwards."""
+        if len(self.young) > self.size:
+            self.young, self.old = {}, self.young
+        need = keys.difference(self.young)
+        for k in need.intersection(self.old):
+            self.young[k] = self.old[k]
+        return need.difference(self.old)
+
+
 class Words:
-    """Encoded words of this worker: word -> (ids as bytes, their tokens joined by spaces)."""
+    """Encoded words of this worker, and the runs (of letters, of other characters) that words are made of.
+
+    The vocabulary's pre-tokenizer cuts a word into runs after lower-casing, each of which is encoded by itself. A
+    word of the characters in PLAIN is cut here in the same way, so that "Word", "word," and "word" share a run; any
+    other word (apostrophes, special tokens, other scripts, marks to compose) goes to the tokenizer whole.
+    """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = tokenizer(path)
-        self.ids: dict[bytes, bytes] = {}
-        self.tokens: dict[bytes, str] = {}
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
+        self.words, self.runs = Kept(MAX_WORDS), Kept(MAX_RUNS)
+
+    @property
+    def ids(self) -> dict[bytes, bytes]:
+        return self.words.young
 
     def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.ids]
-        if len(self.ids) + len(new) > MAX_WORDS:
-            self.ids.clear()
-            self.tokens.clear()
-            new = list(words)
+        """``ids`` has all of ``words`` afterwards."""
+        cut = {}
+        for w in self.words.missing(words):
+            text = w.decode()
+            cut[w] = RUNS.findall(text.lower()) if PLAIN.fullmatch(text) and "<|" not in text else [text]
+        new = list(self.runs.missing({x for own in cut.values() for x in own}))
+        runs = self.runs.young
         for at in range(0, len(new), BATCH_WORDS):
             part = new[at : at + BATCH_WORDS]
-            for word, e in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-                self.ids[word] = np.array(e.ids, "<i4").tobytes()
-                self.tokens[word] = self.decode(e.ids)
+            for run, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
+                runs[run] = array("i", e.ids).tobytes()
+        for w, own in cut.items():
+            self.ids[w] = b"".join([runs[x] for x in own])
 
-    def decode(self, ids) -> str:
-        return self.tokenizer.decode(ids, skip_special_tokens=False) if len(ids) else ""
+    def whole(self, text: bytes) -> bytes:
+        return array("i", self.tokenizer.encode(text.decode(), add_special_tokens=False).ids).tobytes()
 
-    def plain(self, text: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<i4").tobytes()
+    def decode(self, ids: bytes) -> str:
+        """The names of the tokens, one space apart: what the tokenizer's decode gives, as it has no decoder."""
+        return " ".join(map(self.names.__getitem__, array("i", ids)))
 
 
 _workers: dict[str, Words] = {}
@@ -147,48 +188,36 @@ def _split(chunk: bytes) -> tuple[bytes, list[bytes], bytes] | None:
 
 
 def _encode_chunks(path: str):
+    """The whole words of each chunk, encoded, and the first and last of them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known = words_of(path)
-            ids, tokens = [], []
+            ids, firsts, lasts = [], [], []
             for chunk in batch.column("chunk").to_pylist():
                 split = _split(chunk)
                 own = split[1] if split else []
                 known.learn(set(own))
                 ids.append(b"".join([known.ids[w] for w in own]))
-                tokens.append(" ".join(filter(None, [known.tokens[w] for w in own])))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("chunk"), pa.array(ids, pa.binary()), pa.array(tokens, pa.string())], ["chunk", "ids", "tokens"]
-            )
+                firsts.append(own[0] if own else b"")
+                lasts.append(own[-1] if own else b"")
+            new = [pa.array(x, pa.binary()) for x in (ids, firsts, lasts)]
+            yield pa.RecordBatch.from_arrays([batch.column("chunk"), *new], ["chunk", "ids", "first", "last"])
 
     return run
 
 
-def _repair(known: Words, before: list[bytes], word: bytes, after: list[bytes]) -> None:
-    """Encode the word at a join with what is around it, and grow the window until both sides agree.
-
-    ``known`` has the word by itself afterwards; if no window agrees, the tokenizer breaks the promise that white
-    space separates, which is an error and not a case to go on with.
-    """
-    known.learn({word, *before, *after})
-    for reach in range(1, max(len(before), len(after), 1) + 1):
-        left, right = before[-reach:], after[:reach]
-        window = known.plain(b" ".join([*left, word, *right]))
-        if window == b"".join([known.ids[w] for w in (*left, word, *right)]):
-            return
-    raise ValueError("words that white space separates do not encode one by one with this tokenizer")
-
-
-AROUND = 8
+#: A part of a text: its words or the ids of a shared chunk, and its first and last word.
+Part = tuple[list[bytes] | bytes, bytes, bytes]
 
 
-def _assemble(known: Words, shared: dict[bytes, tuple[bytes, str]], chunks: list[bytes]) -> tuple[bytes, str]:
-    """Ids (as bytes) and joined tokens of a text from its chunks."""
-    ids: list[bytes] = []
-    tokens: list[str] = []
-    carry, before = b"", []
-    splits = [_split(c) for c in chunks]
-    for chunk, split in zip(chunks, splits):
+def _parts(chunks: list[bytes], shared: dict[bytes, tuple[bytes, bytes, bytes]]) -> tuple[list[Part], list[int]]:
+    """The parts of a text, and which of them are single words that a chunk's border cuts."""
+    parts: list[Part] = []
+    joins: list[int] = []
+    carry = b""
+    for chunk in chunks:
+        split = _split(chunk)
         if split is None:
             carry += chunk
             continue
@@ -196,25 +225,27 @@ def _assemble(known: Words, shared: dict[bytes, tuple[bytes, str]], chunks: list
         word = carry + head
         if word:
             if carry and head:
-                _repair(known, before, word, words[:AROUND])
-            else:
-                known.learn({word})
-            ids.append(known.ids[word])
-            tokens.append(known.tokens[word])
+                joins.append(len(parts))
+            parts.append(([word], word, word))
         if chunk in shared:
-            whole = shared[chunk]
-            ids.append(whole[0])
-            tokens.append(whole[1])
-        else:
-            known.learn(set(words))
-            ids += [known.ids[w] for w in words]
-            tokens += [known.tokens[w] for w in words]
-        before, carry = words[-AROUND:], tail
+            parts.append(shared[chunk])
+        elif words:
+            parts.append((words, words[0], words[-1]))
+        carry = tail
     if carry:
-        known.learn({carry})
-        ids.append(known.ids[carry])
-        tokens.append(known.tokens[carry])
-    return b"".join(ids), " ".join(filter(None, tokens))
+        parts.append(([carry], carry, carry))
+    return parts, joins
+
+
+def _agree(known: Words, parts: list[Part], joins: list[int]) -> bool:
+    """Whether each word at a join, encoded again with a word on either side, gives what stands in the parts."""
+    for k in joins:
+        left = parts[k - 1][2] if k else b""
+        right = parts[k + 1][1] if k + 1 < len(parts) else b""
+        window = [w for w in (left, parts[k][1], right) if w]
+        if known.whole(b" ".join(window)) != b"".join([known.ids[w] for w in window]):
+            return False
+    return True
 
 
 _OUT = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
@@ -224,8 +255,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     """``docs`` with ``ids`` (token ids of the text) and ``decoded`` (the text that these ids decode to)."""
     docs = docs.drop(*[f.name for f in _OUT])
     columns = docs.columns
-    encoded = shared_chunks(docs).mapInArrow(_encode_chunks(path), "chunk binary, ids binary, tokens string")
-    table = {bytes(r.chunk): (bytes(r.ids), r.tokens) for r in encoded.collect()}  # MAX_SHARED chunks of MAX_CHUNK bytes
+    encoded = shared_chunks(docs).mapInArrow(_encode_chunks(path), "chunk binary, ids binary, first binary, last binary")
+    table = {bytes(r[0]): tuple(map(bytes, r[1:])) for r in encoded.collect()}  # MAX_SHARED chunks of MAX_CHUNK bytes
     sent = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,16 +266,26 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 data, offsets = text_bytes(part.column("text"))
                 starts = cuts(data, offsets)
                 raw, bounds = data.tobytes(), np.append(starts, len(data))
-                firsts = np.searchsorted(starts, offsets)
-                ids, decoded = [], []
+                places = np.searchsorted(starts, offsets)
+                texts, words = [], set()
                 for i in range(part.num_rows):
-                    edges = bounds[firsts[i] : firsts[i + 1] + 1].tolist()
-                    chunks = [raw[a:b] for a, b in zip(edges, edges[1:])]
-                    own, text = _assemble(known, shared, chunks)
+                    edges = bounds[places[i] : places[i + 1] + 1].tolist()
+                    found = _parts([raw[a:b] for a, b in zip(edges, edges[1:])], shared)
+                    texts.append(found)
+                    for own, first, last in found[0]:
+                        words.update(own if isinstance(own, list) else filter(None, (first, last)))
+                known.learn(words)
+                get = known.ids.__getitem__
+                ids, decoded = [], []
+                for i, (parts, joins) in enumerate(texts):
+                    if _agree(known, parts, joins):
+                        own = b"".join([b"".join(map(get, x)) if isinstance(x, list) else x for x, _, _ in parts])
+                    else:  # the window grows to the whole text
+                        own = known.whole(raw[offsets[i] : offsets[i + 1]])
                     ids.append(own)
-                    decoded.append(text)
+                    decoded.append(known.decode(own))
                 counts = np.array([len(x) // 4 for x in ids], np.int64)
-                values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+                values = pa.array(np.frombuffer(b"".join(ids), np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, int_lists(counts, values), pa.array(decoded, pa.string())], [*columns, "ids", "decoded"]
                 )
