@@ -29,8 +29,7 @@ from profilematch.llm.common import int_lists, slices, stored, text_bytes
 
 U = np.uint64
 POSITION = U(24)
-MIN_HOT = 4096
-GROUP_BYTES = 4 << 20
+MIN_HOT = 1024
 #: who: what a mark is compared with (document id, or 0); row: which row of the table
 KEYS = ["who", "row"]
 
@@ -40,6 +39,9 @@ class Kind:
     width: int
     gram: int
     words: bool
+    #: Bytes of text, and of strings in whole buckets, that are worked on at a time.
+    slice_bytes: int = 2 << 20
+    group_bytes: int = 4 << 20
 
 
 def _normal(column: pa.Array, words: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -135,7 +137,7 @@ def segments_of(docs: DataFrame, kind: Kind, hot: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", kind.slice_bytes):
                 data, offsets = _normal(part.column("text"), kind.words)
                 u1, u2, doc, starts, ends = _units(data, offsets, kind.words)
                 found = find(u1, u2, doc, kind, hot)
@@ -168,7 +170,7 @@ def hot_routes(docs: DataFrame, kind: Kind, least: int = MIN_HOT) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", kind.slice_bytes):
                 u1, u2, doc, _, _ = _units(*_normal(part.column("text"), kind.words), kind.words)
                 found = find(u1, u2, doc, kind, np.zeros(0, U))
                 if len(found.first):
@@ -225,7 +227,7 @@ def _strings(table: pa.Table) -> Strings:
 Bucket = Callable[[Strings], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
-def marks_of(segments: DataFrame, bucket: Bucket) -> DataFrame:
+def marks_of(segments: DataFrame, kind: Kind, bucket: Bucket) -> DataFrame:
     """(fp, marks): for each string with affected windows, their ranges. Sorted by bucket; whole buckets at a time."""
 
     def work(table: pa.Table) -> pa.RecordBatch | None:
@@ -245,10 +247,10 @@ def marks_of(segments: DataFrame, bucket: Bucket) -> DataFrame:
         held: list[pa.RecordBatch] = []
         size = 0
         for batch in batches:
-            for part in slices(batch, "packed"):
+            for part in slices(batch, "packed", kind.slice_bytes):
                 held.append(part)
                 size += part.nbytes
-                if size < GROUP_BYTES:
+                if size < kind.group_bytes:
                     continue
                 table = pa.Table.from_batches(held)
                 routes = np.asarray(table.column("route"))
@@ -269,7 +271,7 @@ def spans_of(docs: DataFrame, kind: Kind, hot: np.ndarray, marks: DataFrame) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", kind.slice_bytes):
                 u1, u2, doc, _, _ = _units(*_normal(part.column("text"), kind.words), kind.words)
                 found = find(u1, u2, doc, kind, hot)
                 begin = np.searchsorted(doc, np.arange(part.num_rows))

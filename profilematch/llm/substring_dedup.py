@@ -98,7 +98,7 @@ def dedup_substrings(docs: DataFrame, min_hot: int | None = None) -> DataFrame:
     keyed = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     keyed = keyed.select(F.col("doc_id").cast("long").alias("who"), row_key().alias("row"), "text")
     hot = hot_routes(keyed, KIND, **({} if min_hot is None else {"least": min_hot}))
-    marks = stored(marks_of(segments_of(keyed, KIND, hot), _bucket), "windows")
+    marks = stored(marks_of(segments_of(keyed, KIND, hot), KIND, _bucket), "windows")
     spans = spans_of(keyed, KIND, hot, marks).select(
         F.col("who").alias("__who"), F.col("row").alias("__row"), F.col("spans").alias(_SPANS)
     )

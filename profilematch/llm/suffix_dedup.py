@@ -26,7 +26,7 @@ from profilematch.llm.common import slices, stored, text_bytes
 from profilematch.llm.segments import Kind, Strings, covered, hot_routes, marks_of, segments_of, spans_of
 
 WIDTH = 400
-KIND = Kind(width=WIDTH, gram=32, words=False)
+KIND = Kind(width=WIDTH, gram=32, words=False, slice_bytes=1 << 20, group_bytes=2 << 20)
 FIRST = 7  # bytes that fit into one 63-bit number, 9 bits each
 
 
@@ -210,7 +210,7 @@ def dedup_bytes(docs: DataFrame, min_hot: int | None = None) -> DataFrame:
     docs = docs.drop(*[f.name for f in _OUT])
     keyed = docs.where(F.col("text").isNotNull()).select(F.lit(0).cast("long").alias("who"), _row(docs).alias("row"), "text")
     hot = hot_routes(keyed, KIND, **({} if min_hot is None else {"least": min_hot}))
-    marks = stored(marks_of(segments_of(keyed, KIND, hot), _bucket), "windows")
+    marks = stored(marks_of(segments_of(keyed, KIND, hot), KIND, _bucket), "windows")
     spans = spans_of(keyed, KIND, hot, marks).select(F.col("row").alias("__row"), F.col("spans").alias(_SPANS))
     joined = docs.join(spans, _row(docs) == F.col("__row"), "left").drop("__row")
     return joined.mapInArrow(_remove(docs.columns), T.StructType([*docs.schema.fields, *_OUT]))
