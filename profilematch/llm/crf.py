@@ -90,31 +90,35 @@ def marginals(w: Weights, emission: np.ndarray, first: np.ndarray, pairs: bool =
     return one, both
 
 
-def train(active, state, first, n_features: int, weight=None, rounds: int = 60, rate: float = 0.3, decay: float = 1e-3) -> Weights:
-    """Maximum likelihood by gradient steps of a size of their own for each weight (Adam)."""
-    n = max(1, len(state))
+def train(active, state, first, n_features: int, rounds: int = 60, variance: float = 1.0, limit: float = 1.0) -> Weights:
+    """Maximum a posteriori weights (normal prior of ``variance``) by damped Newton steps on the diagonal.
+
+    A step is the gradient over the expected curvature, shared by the features that are active together, and at most
+    ``limit``. Rare features stay near 0, since their curvature is less than the prior's.
+    """
     state = state.astype(float)
     w = Weights(np.zeros(n_features), np.zeros((2, 2)), np.zeros(2))
     inner = ~first[1:]
+    together = active.shape[1] + 1
     seen = np.array([[((state[:-1] == i) & (state[1:] == j) & inner).sum() for j in (0, 1)] for i in (0, 1)], float)
     begin = np.array([(state[first] == 0).sum(), (state[first] == 1).sum()], float)
-    size = n_features + 6
-    mean, square = np.zeros(size), np.zeros(size)
-    for k in range(1, rounds + 1):
+
+    def moved(x, gradient, curvature):
+        return x + np.clip((gradient - x / variance) / (together * curvature + 1 / variance), -limit, limit)
+
+    for _ in range(rounds):
         one, both = marginals(w, emissions(w, active), first, pairs=True)
-        miss = state - one
-        grad = np.zeros(n_features)
+        miss, spread = state - one, one * (1 - one)
+        gradient, curvature = np.zeros(n_features), np.zeros(n_features)
         for column in range(active.shape[1]):
-            grad += np.bincount(active[:, column], miss, n_features)
+            gradient += np.bincount(active[:, column], miss, n_features)
+            curvature += np.bincount(active[:, column], spread, n_features)
         own = np.array([first.sum() - one[first].sum(), one[first].sum()])
-        g = np.concatenate([grad, (seen - both).ravel(), begin - own]) / n
-        x = np.concatenate([w.features, w.moves.ravel(), w.start])
-        g -= decay * x / np.sqrt(n)
-        mean = 0.9 * mean + 0.1 * g
-        square = 0.99 * square + 0.01 * g * g
-        step = mean / (1 - 0.9**k) / (np.sqrt(square / (1 - 0.99**k)) + 1e-9)
-        x += rate * (1 - 0.9 * k / rounds) * step
-        w = Weights(x[:n_features], x[n_features : n_features + 4].reshape(2, 2), x[n_features + 4 :])
+        w = Weights(
+            moved(w.features, gradient, curvature),
+            moved(w.moves, seen - both, both * (1 - both / max(1, both.sum()))),
+            moved(w.start, begin - own, own * (1 - own / max(1, own.sum()))),
+        )
     return w
 
 

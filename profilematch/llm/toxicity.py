@@ -1,10 +1,12 @@
 """Toxicity: a linear-chain conditional random field tags toxic tokens; its marginals add up to a document score.
 
 Labels exist for documents, not for tokens. Tokens are labelled from them: in a toxic training document a token is
-toxic if its word is in many more toxic than clean documents (``LIFT``) and in enough of them (``SHARE``); all other tokens are clean. The field's
-features are the token's word and its two neighbours, among the words of the sample that say most (MAX_WORDS). A
-document's score is a logistic function of the expected number of toxic tokens and of the greatest marginal, so it
-doesn't depend on length otherwise. Offending offsets are the runs of tokens with a marginal of 0.5 or more.
+toxic if its word, or a beginning of it (PREFIXES bytes), is in many more toxic than clean documents (``LIFT``) and in
+enough of them (``SHARE``); all other tokens are clean. The field's features are the token's word, its two neighbours
+and its beginnings, among those of the sample that say most (MAX_WORDS each, in LEAST_DOCUMENTS or more). A
+document's score is a logistic function of its greatest marginal and of the expected number of toxic tokens among the
+tagged ones, those with a marginal of 0.5 or more (the others' small marginals add up in long texts). Offending offsets
+are the runs of tagged tokens.
 
 Training uses a sample of PER_CLASS documents of each label and MAX_BYTES of text (crf.py, samples.py); scoring covers
 every whole text. Null, empty and token-free texts have no toxic tokens and the score that goes with it. Without any
@@ -27,9 +29,11 @@ from profilematch.llm import hashing as H
 from profilematch.llm.common import APART, int_lists, slices, text_bytes
 from profilematch.llm.samples import labelled_sample
 
-PER_CLASS = 1500
-MAX_BYTES = 24 << 20
+U = np.uint64
+PER_CLASS = 1000
+MAX_BYTES = 10 << 20
 MAX_WORDS = 20_000
+PREFIXES = (4, 5, 6, 7)
 LEAST_DOCUMENTS = 4
 SHARE = 0.01
 LIFT = 8.0
@@ -37,21 +41,35 @@ LIFT = 8.0
 
 @dataclass
 class Model:
-    words: np.ndarray  # sorted hashes; feature k + 1 is words[k]
+    known: list[np.ndarray]  # sorted hashes of words, then of beginnings of each length in PREFIXES
     weights: crf.Weights
     score: np.ndarray
 
 
-def _features(units: np.ndarray, first: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Numbers of each token's word, of the word before and of the word after; 0 is any other word or none."""
-    size = len(words) + 1
-    at = np.searchsorted(words, units)
-    known = np.minimum(at, max(len(words) - 1, 0))
-    own = np.where((at < len(words)) & (words[known] == units), at + 1, 0) if len(words) else np.zeros(len(units), np.int64)
+def _numbers(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """k + 1 where a hash is known[k], 0 for any other. A table of leading bits spares most searches."""
+    out = np.zeros(len(hashes), np.int64)
+    if len(known):
+        seen = np.zeros(1 << 20, bool)
+        seen[known >> U(44)] = True
+        here = np.flatnonzero(seen[hashes >> U(44)])
+        at = np.minimum(np.searchsorted(known, hashes[here]), len(known) - 1)
+        out[here] = np.where(known[at] == hashes[here], at + 1, 0)
+    return out
+
+
+def _features(attributes: list[np.ndarray], first: np.ndarray, known: list[np.ndarray]) -> np.ndarray:
+    """Feature numbers of each token: its word, the words before and after, and its beginnings."""
+    own, *begins = [_numbers(h, k) for h, k in zip(attributes, known)]
     before, after = np.zeros_like(own), np.zeros_like(own)
     before[1:] = np.where(first[1:], 0, own[:-1])
     after[:-1] = np.where(first[1:], 0, own[1:])
-    return np.column_stack([own, size + before, 2 * size + after])
+    sizes = [len(known[0]) + 1] * 3 + [len(k) + 1 for k in known[1:]]
+    return (np.column_stack([own, before, after, *begins]) + np.cumsum([0, *sizes[:-1]])).astype(np.int32)
+
+
+def _size(known: list[np.ndarray]) -> int:
+    return 3 * (len(known[0]) + 1) + sum(len(k) + 1 for k in known[1:])
 
 
 def _tokens(column: pa.Array):
@@ -59,14 +77,18 @@ def _tokens(column: pa.Array):
     starts, ends, doc = H.word_spans(data, offsets, APART)
     first = np.ones(len(doc), bool)
     first[1:] = doc[1:] != doc[:-1]
-    return data, offsets, starts, ends, doc, H.word_hashes(data, starts, ends), first
+    attributes = [H.word_hashes(data, starts, ends)]
+    for n in PREFIXES:
+        begin = H.word_hashes(data, starts, np.minimum(ends, starts + n))
+        attributes.append(np.where(ends - starts > n, begin, U(0)))
+    return data, offsets, starts, ends, doc, attributes, first
 
 
 def _totals(p: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
-    """Expected number of toxic tokens (its logarithm) and greatest marginal, for each text."""
+    """Expected number of toxic tokens among the tagged ones (its logarithm), and greatest marginal, of each text."""
     most = np.zeros(n)
     np.maximum.at(most, doc, p)
-    return np.column_stack([np.log1p(np.bincount(doc, p, n)), most])
+    return np.column_stack([np.log1p(np.bincount(doc, np.where(p >= 0.5, p, 0), n)), most])
 
 
 def fit(docs: DataFrame, labels: DataFrame, train) -> Model | None:
@@ -75,21 +97,23 @@ def fit(docs: DataFrame, labels: DataFrame, train) -> Model | None:
     if not sample.num_rows:
         return None
     toxic = np.asarray(sample.column("label")).astype(float)
-    _, _, _, _, doc, units, first = _tokens(sample.column("text").combine_chunks())
-    words, number = np.unique(units, return_inverse=True)
-    pairs = np.unique(number * len(toxic) + doc)
-    of_toxic = np.bincount(pairs // len(toxic), toxic[pairs % len(toxic)], len(words))
-    of_clean = np.bincount(pairs // len(toxic), 1 - toxic[pairs % len(toxic)], len(words))
-    rate = lambda n, total: (n + 0.5) / (total + 1)
-    lift = rate(of_toxic, toxic.sum()) / rate(of_clean, (1 - toxic).sum())
-    marks = (of_toxic >= max(LEAST_DOCUMENTS, SHARE * toxic.sum())) & (lift >= LIFT)
-    tells = np.abs(np.log(lift)) * np.sqrt(of_toxic + of_clean)
-    chosen = np.sort(words[np.argsort(-tells, kind="stable")[:MAX_WORDS]])
-    active = _features(units, first, chosen)
-    state = marks[number] & (toxic[doc] == 1)
-    weights = crf.train(active, state, first, 3 * (len(chosen) + 1))
+    _, _, _, _, doc, attributes, first = _tokens(sample.column("text").combine_chunks())
+    known, marked = [], np.zeros(len(doc), bool)
+    for hashes in attributes:
+        distinct, number = np.unique(hashes, return_inverse=True)
+        pairs = np.unique(number * len(toxic) + doc)
+        of_toxic = np.bincount(pairs // len(toxic), toxic[pairs % len(toxic)], len(distinct))
+        of_clean = np.bincount(pairs // len(toxic), 1 - toxic[pairs % len(toxic)], len(distinct))
+        lift = (of_toxic + 0.5) / (toxic.sum() + 1) / ((of_clean + 0.5) / ((1 - toxic).sum() + 1))
+        enough = np.flatnonzero((of_toxic + of_clean >= LEAST_DOCUMENTS) & (distinct != 0))
+        tells = np.abs(np.log(lift[enough])) * np.sqrt((of_toxic + of_clean)[enough])
+        known.append(np.sort(distinct[enough[np.argsort(-tells, kind="stable")[:MAX_WORDS]]]))
+        marks = (of_toxic >= max(LEAST_DOCUMENTS, SHARE * toxic.sum())) & (lift >= LIFT) & (distinct != 0)
+        marked |= marks[number]
+    active = _features(attributes, first, known)
+    weights = crf.train(active, marked & (toxic[doc] == 1), first, _size(known))
     p, _ = crf.marginals(weights, crf.emissions(weights, active), first)
-    return Model(chosen, weights, crf.logistic(_totals(p, doc, len(toxic)), toxic))
+    return Model(known, weights, crf.logistic(_totals(p, doc, len(toxic)), toxic))
 
 
 _SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
@@ -106,10 +130,11 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 n, model = part.num_rows, sent.value
-                data, offsets, starts, ends, doc, units, first = _tokens(part.column("text"))
-                p = np.zeros(len(units))
+                data, offsets, starts, ends, doc, attributes, first = _tokens(part.column("text"))
+                p = np.zeros(len(doc))
                 if model is not None:
-                    p, _ = crf.marginals(model.weights, crf.emissions(model.weights, _features(units, first, model.words)), first)
+                    active = _features(attributes, first, model.known)
+                    p, _ = crf.marginals(model.weights, crf.emissions(model.weights, active), first)
                 scores = crf.probability(_totals(p, doc, n), model.score) if model is not None else np.zeros(n)
                 hit = np.flatnonzero(p >= 0.5)
                 opens = np.ones(len(hit), bool)
