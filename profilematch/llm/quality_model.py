@@ -25,8 +25,8 @@ from profilematch.llm import hashing as H
 from profilematch.llm.common import slices, text_bytes
 from profilematch.llm.samples import labelled_sample
 
-PER_CLASS = 2500
-MAX_BYTES = 32 << 20
+PER_CLASS = 2000
+MAX_BYTES = 16 << 20
 BUCKETS = 8
 METRICS = ("bytes", "words", "word_bytes", "upper", "digits", "symbols", "marks", "distinct", "repeats_line", "ends")
 
@@ -113,7 +113,13 @@ def fit(docs: DataFrame, labels: DataFrame, train) -> Model | None:
     if not sample.num_rows:
         return None
     good = np.asarray(sample.column("label")).astype(float)
-    values, doc, length, first = measures(sample.column("text").combine_chunks())
+    found, before = [], 0
+    for batch in sample.to_batches():
+        for part in slices(batch, "text"):
+            values, doc, length, first = measures(part.column("text"))
+            found.append((values, doc + before, length, first))
+            before += part.num_rows
+    values, doc, length, first = map(np.concatenate, zip(*found))
     if not len(values):
         return None
     edges = np.quantile(values, np.arange(1, BUCKETS) / BUCKETS, axis=0).T
