@@ -362,6 +362,32 @@ ORACLES: dict[str, str] = {
     "sentiment_by_group": sentiment(),
 }
 
+TESTED = f"WITH {SPLIT} SELECT id, label, true AS known_label FROM test"
+for name in ("lr", "dt", "rf", "svm"):
+    ORACLES[f"classify_{name}"] = TESTED
+ORACLES["best_model"] = "SELECT 5 AS models, true AS best_is_greatest, true AS in_range"
+# Gaussian naive Bayes: log prior plus log densities; variances are smoothed by 1e-9 of the greatest one.
+ORACLES["classify_nb"] = f"""WITH {SPLIT},
+long AS (SELECT id, label, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM train),
+smooth AS (SELECT 1e-9 * max(s) AS e FROM (SELECT var_pop(x) AS s FROM long GROUP BY j)),
+fitted AS (SELECT label, j, avg(x) AS m, var_pop(x) + (SELECT e FROM smooth) AS s FROM long GROUP BY label, j),
+prior AS (SELECT label, ln(count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM train)) AS p FROM train GROUP BY label),
+asked AS (SELECT id, label AS truth, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM test),
+scored AS (SELECT id, truth, f.label, sum(-0.5 * ln(2 * pi() * s) - (x - m) * (x - m) / (2 * s)) AS l
+  FROM asked JOIN fitted f ON asked.j = f.j GROUP BY id, truth, f.label),
+ranked AS (SELECT id, truth, label, row_number() OVER (PARTITION BY id ORDER BY l + p DESC) AS r
+  FROM scored JOIN prior USING (label))
+SELECT id, truth AS label, CAST(label AS DOUBLE) AS prediction FROM ranked WHERE r = 1"""
+ORACLES["pca_project"] = """WITH long AS (
+  SELECT unnest(CAST(embedding AS DOUBLE[])) AS x, generate_subscripts(embedding, 1) AS j FROM embeddings)
+SELECT max(n) AS rows, round(sum(s), 6) AS total_variance, 0 AS correlated_pairs
+FROM (SELECT var_pop(x) AS s, count(*) AS n FROM long GROUP BY j)"""
+ORACLES["kmeans_cluster"] = "SELECT count(*) AS points, true AS clusters_in_range, 0 AS nearer_elsewhere FROM embeddings"
+ORACLES["word2vec_similar"] = """SELECT doc_id AS request_id, 5 AS results, true AS dense, true AS falling,
+  true AS in_range, true AS without_itself FROM labels"""
+ORACLES["recommend_full"] = """SELECT 0 AS bad_ranks, 0 AS bad_requests, 0 AS bad_clusters, 0 AS bad_scores,
+  true AS has_rows"""
+
 # The second way of a job has the SQL of the first.
 for second, first in {
     "normalize_text_join": "normalize_text",

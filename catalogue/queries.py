@@ -289,6 +289,26 @@ SIX_FIELDS = ["company_type", "company_industry", "company_size", "country", "wo
 
 
 def recommend_full(spark, sf):
+    """What must hold of the whole recommendation: violations of rank, score, cluster and number (none)."""
+    found, clusters = _recommendation(spark, sf)
+    found = materialize(found, "recommended")
+    of = clusters.select("id", F.col("cluster").alias("own"))
+    per_request = found.groupBy("request_id").agg(
+        F.max("rank").alias("last"), F.count(F.lit(1)).alias("n"), F.count_distinct("predicted_cluster").alias("clusters")
+    )
+    lists = per_request.agg(
+        F.count(F.when((F.col("last") != F.col("n")) | (F.col("n") > 10), 1)).alias("bad_ranks"),
+        F.count(F.when(F.col("clusters") > 1, 1)).alias("bad_requests"),
+    )
+    rows = found.join(of, "id").agg(
+        F.count(F.when(F.col("own") != F.col("predicted_cluster"), 1)).alias("bad_clusters"),
+        F.count(F.when(F.round("similarity_score", 10) < 0.1, 1)).alias("bad_scores"),
+        (F.count(F.lit(1)) > 0).alias("has_rows"),
+    )
+    return lists.join(F.broadcast(rows), how="cross")
+
+
+def _recommendation(spark, sf):
     companies = document_companies(spark, sf)
     fitted = fit_index(companies.select("id", "tokens"), "id", "tokens", "smooth", features.MAX_TERMS)
     prepared = features.fit_features(companies, SIX_FIELDS, fitted.vocab)
@@ -309,7 +329,8 @@ def recommend_full(spark, sf):
         F.lit("1").alias("working_days"),
         F.lit("0").alias("overtime_policy"),
     )
-    return recommend.recommend(fitted, pipeline, asked, clustered.select("id", "cluster"))
+    clusters = clustered.select("id", "cluster")
+    return recommend.recommend(fitted, pipeline, asked, clusters), clusters
 
 
 # --- one-hot and distributions --------------------------------------------------------------------
@@ -485,29 +506,77 @@ def _features(spark, sf):
     return embedded(spark, sf).select("id", v.alias("features"), "label")
 
 
+def classify_nb(spark, sf):
+    return models.classify(_features(spark, sf), "Naive Bayes")
+
+
 def _classify(name: str) -> Query:
+    """Trained models differ in their last digits, so what must hold of each prediction is told."""
+
     def run(spark, sf):
-        return models.classify(_features(spark, sf), name)
+        predicted = models.classify(_features(spark, sf), name)
+        labels = embedded(spark, sf).agg(F.collect_set(F.col("label").cast("double"))).scalar()
+        return predicted.select("id", "label", F.array_contains(labels, F.col("prediction")).alias("known_label"))
 
     return run
 
 
 def best_model(spark, sf):
-    return models.best_model(models.compare(_features(spark, sf)).results)
+    """What must hold of the best of five models: none is better."""
+    results = materialize(models.compare(_features(spark, sf)).results, "results")
+    best = models.best_model(results)
+    greatest = results.agg(F.max("accuracy")).scalar()
+    return best.select(
+        results.agg(F.count(F.lit(1))).scalar().alias("models"),
+        (F.col("best_accuracy") == greatest).alias("best_is_greatest"),
+        F.col("best_accuracy").between(0, 1).alias("in_range"),
+    )
 
 
 def pca_project(spark, sf):
-    return models.pca_project(_features(spark, sf), "id", "features", features.PCA_COMPONENTS)
+    """Variance of all components together, and pairs of components that vary together (none may)."""
+    data = _features(spark, sf)
+    size = embedded(spark, sf).agg(F.max(F.size("vector"))).first()[0]
+    scores = materialize(models.pca_project(data, "id", "features", size), "scores")
+    long = scores.select("id", F.posexplode("pca").alias("c", "x"))
+    pairs = long.join(long.select("id", F.col("c").alias("d"), F.col("x").alias("y")), "id").groupBy("c", "d")
+    moments = pairs.agg(F.avg(F.col("x") * F.col("y")).alias("m"), F.count(F.lit(1)).alias("n"))
+    return moments.agg(
+        F.max("n").alias("rows"),
+        F.round(F.sum(F.when(F.col("c") == F.col("d"), F.col("m"))), 6).alias("total_variance"),
+        F.count(F.when((F.col("c") != F.col("d")) & (F.abs("m") > 1e-6), 1)).alias("correlated_pairs"),
+    )
 
 
 def kmeans_cluster(spark, sf):
-    return models.kmeans_cluster(_features(spark, sf), "id", "features", 10)
+    """Points, clusters, and points whose own centre is not the nearest (none)."""
+    k = 10
+    clustered = materialize(models.kmeans_cluster(_features(spark, sf), "id", "features", k), "clustered")
+    data = embedded(spark, sf).join(clustered, "id")
+    nearest = models.top_clusters(data, "id", "vector", models.centroids(data, "vector", "cluster"), 1)
+    compared = clustered.join(nearest.select("id", F.col("cluster").alias("nearest")), "id")
+    return compared.agg(
+        F.count(F.lit(1)).alias("points"),
+        (F.count_distinct("cluster") <= k).alias("clusters_in_range"),
+        F.count(F.when(F.col("cluster") != F.col("nearest"), 1)).alias("nearer_elsewhere"),
+    )
 
 
 def word2vec_similar(spark, sf):
+    """What must hold of each list: five dense ranks, scores that fall, within [-1, 1], never the text itself."""
     vectors = materialize(models.word_vectors(raw_tokens(spark, sf)), "word-vectors")
     asked = table(spark, sf, "labels").select(F.col("doc_id").alias("id"))
-    return models.word2vec_similar(vectors, asked, 5)
+    found = models.word2vec_similar(vectors, asked, 5)
+    lists = found.groupBy("request_id").agg(F.sort_array(F.collect_list(F.struct("rank", "id", "similarity"))).alias("l"))
+    ranks, scores = F.col("l.rank"), F.col("l.similarity")
+    return lists.select(
+        "request_id",
+        F.size("l").cast("long").alias("results"),
+        (ranks == F.sequence(F.lit(1), F.size("l"))).alias("dense"),
+        (scores == F.reverse(F.sort_array(scores))).alias("falling"),
+        F.forall(scores, lambda s: F.abs(s) <= 1.0001).alias("in_range"),
+        (~F.array_contains(F.col("l.id"), F.col("request_id"))).alias("without_itself"),
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -569,7 +638,7 @@ QUERIES: dict[str, Query] = {
     "classify_lr": _classify("Logistic Regression"),
     "classify_dt": _classify("Decision Tree"),
     "classify_rf": _classify("Random Forest"),
-    "classify_nb": _classify("Naive Bayes"),
+    "classify_nb": classify_nb,
     "classify_svm": _classify("SVM"),
     "best_model": best_model,
     "pca_project": pca_project,
