@@ -9,12 +9,13 @@ Improved consistent weighted sampling (Ioffe, 2010) draws SAMPLES pairs (shingle
 sample with their weighted Jaccard similarity as probability. Its random numbers come from a fixed table by shingle
 hash. ROWS samples make a band. Texts with equal tokens are one node; nodes that share a band are candidates:
 
-- Each band compares its least node (the pivot) with the others, and links are verified on the texts.
-- What is not like its pivot goes on to the next round, where nodes must share one more (later) band, with a new pivot.
-  Pairs of 0.8 or more share 6.5 of 16 bands on average; texts around one shared passage soon part. No pairs of a
-  group are listed, and there are at most as many rounds as bands.
+- Each band compares its pivot, the node with most neighbours in all its bands, with the others. Links are verified on
+  the texts, and their components are classes.
+- What is not in its pivot's class goes on to the next round, where nodes must share one more (later) band, with a new
+  pivot. Pairs of 0.8 or more share 6.5 of 16 bands on average; texts around one shared passage soon part. No pairs of
+  a group are listed, and there are at most as many rounds as bands.
 
-Components of the links are the classes; a class is named by its least doc_id.
+A class is named by its least doc_id.
 
 Null, empty and token-free texts are classes of their own, as are rows with a null doc_id (class null). Rows with one
 doc_id and different texts are told apart. Repeated rows are in one class. Extra columns are ignored or kept.
@@ -227,32 +228,41 @@ def _verified(pairs: DataFrame, texts: DataFrame, levels: np.ndarray, threshold:
 
 
 def _held(rows: DataFrame) -> DataFrame:
-    """Rows of keys with two nodes or more, without the pivot itself: (key, node, weight, band, pivot)."""
-    least = rows.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("size")).where("size > 1")
-    return rows.join(least.drop("size"), "key").where("node <> pivot")
+    """Rows of keys with two nodes or more, without the pivot itself: (key, node, weight, band, score, pivot)."""
+    most = F.max(F.struct("score", (-F.col("node")).alias("less")))
+    of = rows.groupBy("key").agg((-most["less"]).alias("pivot"), F.count("*").alias("size")).where("size > 1")
+    return rows.join(of.drop("size"), "key").where("node <> pivot")
 
 
 def _narrowed(left: DataFrame, bands_of: DataFrame) -> DataFrame:
     """Rows that remain, once for each later band of their node: nodes must share that band as well."""
     later = bands_of.select("node", F.col("band").alias("next"), "hash")
-    joined = left.select("key", "node", "weight", "band").join(later, "node").where("next > band")
-    return joined.select(F.xxhash64("key", "hash").alias("key"), "node", "weight", F.col("next").alias("band"))
+    joined = left.select("key", "node", "weight", "band", "score").join(later, "node").where("next > band")
+    return joined.select(F.xxhash64("key", "hash").alias("key"), "node", "weight", F.col("next").alias("band"), "score")
 
 
-def links(signed: DataFrame, docs: DataFrame, levels: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b): verified links between nodes (a the lesser)."""
+def _apart(held: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows whose node and pivot are in different classes so far."""
+    own = roots.select("node", F.col("root").alias("root_n"))
+    other = roots.select(F.col("node").alias("pivot"), F.col("root").alias("root_p"))
+    both = held.join(own, "node", "left").join(other, "pivot", "left")
+    return both.where(F.coalesce("root_n", "node") != F.coalesce("root_p", "pivot"))
+
+
+def link_classes(signed: DataFrame, docs: DataFrame, levels: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
+    """(node, root) of each node with a verified link; the root is the least node of its class."""
     one = signed.groupBy("node").agg(F.min(F.struct("doc_id", "row", "weight", "bands")).alias("one"))
-    bands_of = stored(
-        one.select("node", "one.*").select("node", "doc_id", "row", "weight", F.posexplode("bands").alias("band", "hash")),
-        "bands",
-    )
-    held = stored(_held(bands_of.select(F.col("hash").alias("key"), "node", "weight", "band")), "held")
-    met = held.select("node").union(held.select("pivot")).distinct()
-    wanted = bands_of.where("band = 0").join(met, "node").select("node", "doc_id", "row", "weight")
-    texts = docs.join(wanted, ["doc_id", "row"]).groupBy("node").agg(F.first("text").alias("text"), F.first("weight").alias("weight"))
-    texts = stored(texts, "texts")
+    each = one.select("node", "one.*").select("node", "doc_id", "row", "weight", F.posexplode("bands").alias("band", "hash"))
+    sizes = each.groupBy("hash").agg(F.count("*").alias("size")).where("size > 1")
+    bands_of = stored(each.join(sizes, "hash"), "bands")  # bands that two nodes share
+    scores = bands_of.groupBy("node").agg(F.sum("size").alias("score"), F.min(F.struct("doc_id", "row", "weight")).alias("of"))
+    scores = stored(scores.select("node", "score", "of.*"), "scores")
+    rows = bands_of.select(F.col("hash").alias("key"), "node", "weight", "band").join(scores.select("node", "score"), "node")
+    held = stored(_held(rows), "held")
+    texts = docs.join(scores.select("node", "doc_id", "row", "weight"), ["doc_id", "row"])
+    texts = stored(texts.groupBy("node").agg(F.first("text").alias("text"), F.first("weight").alias("weight")), "texts")
     heavy = texts.select(F.col("node").alias("a"), F.col("weight").alias("weight_a"))
-    found, tested = [], []
+    found, tested, roots = [], [], docs.sparkSession.createDataFrame([], "node long, root long")
     while not held.isEmpty():
         pairs = held.select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.col("weight").alias("weight_b")).distinct()
         for before in tested:
@@ -260,13 +270,12 @@ def links(signed: DataFrame, docs: DataFrame, levels: np.ndarray, threshold: flo
         pairs = stored(pairs.join(heavy, "a"), "pairs")
         tested.append(pairs.select("a", "b"))
         alike = F.least("weight_a", "weight_b") >= (threshold - 1e-9) * F.greatest("weight_a", "weight_b")
-        found.append(stored(_verified(pairs.where(alike).select("a", "b"), texts, levels, threshold), "found"))
-        linked = reduce(DataFrame.unionByName, found).select(F.col("a").alias("pivot"), F.col("b").alias("node"))
-        left = held.join(linked, ["pivot", "node"], "left_anti")
-        held = stored(_held(_narrowed(left, bands_of)), "held")
-    if not found:
-        return docs.sparkSession.createDataFrame([], "a long, b long")
-    return reduce(DataFrame.unionByName, found)
+        new = stored(_verified(pairs.where(alike).select("a", "b"), texts, levels, threshold), "found")
+        if not new.isEmpty():
+            found.append(new)
+            roots = stored(components(reduce(DataFrame.unionByName, found)), "roots")
+        held = stored(_held(_narrowed(_apart(held, roots), bands_of)), "held")
+    return roots
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -276,7 +285,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     levels = idf_levels(counts, n)
     named = keyed.where(F.col("doc_id").isNotNull())
     signed = stored(signatures(named, levels), "signatures")
-    roots = stored(components(links(signed, named, levels, threshold)), "roots")
+    roots = link_classes(signed, named, levels, threshold)
     nodes = signed.select("doc_id", "row", "node").join(roots, "node", "left")
     nodes = nodes.select("doc_id", "row", F.coalesce("root", "node").alias("root"))
     sizes = nodes.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("head"), F.count("*").alias("class_size"))
