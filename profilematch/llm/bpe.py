@@ -66,10 +66,11 @@ class Kept:
         """The keys that have to be added; all others are in ``young`` afterwards."""
         if len(self.young) > self.size:
             self.young, self.old = {}, self.young
-        need = keys.difference(self.young)
-        for k in need.intersection(self.old):
+        need = {k for k in keys if k not in self.young}
+        back = [k for k in need if k in self.old]
+        for k in back:
             self.young[k] = self.old[k]
-        return need.difference(self.old)
+        return need.difference(back)
 
 
 class Words:
@@ -194,10 +195,10 @@ def _encode_chunks(path: str):
         for batch in batches:
             known = words_of(path)
             ids, firsts, lasts = [], [], []
-            for chunk in batch.column("chunk").to_pylist():
-                split = _split(chunk)
-                own = split[1] if split else []
-                known.learn(set(own))
+            splits = [_split(chunk) for chunk in batch.column("chunk").to_pylist()]
+            words = [split[1] if split else [] for split in splits]
+            known.learn(set().union(*words))
+            for own in words:
                 ids.append(b"".join([known.ids[w] for w in own]))
                 firsts.append(own[0] if own else b"")
                 lasts.append(own[-1] if own else b"")
@@ -255,7 +256,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     """``docs`` with ``ids`` (token ids of the text) and ``decoded`` (the text that these ids decode to)."""
     docs = docs.drop(*[f.name for f in _OUT])
     columns = docs.columns
-    encoded = shared_chunks(docs).mapInArrow(_encode_chunks(path), "chunk binary, ids binary, first binary, last binary")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    encoded = shared_chunks(docs).repartition(parts).mapInArrow(_encode_chunks(path), "chunk binary, ids binary, first binary, last binary")
     table = {bytes(r[0]): tuple(map(bytes, r[1:])) for r in encoded.collect()}  # MAX_SHARED chunks of MAX_CHUNK bytes
     sent = docs.sparkSession.sparkContext.broadcast(table)
 
