@@ -388,12 +388,26 @@ ORACLES["word2vec_similar"] = """SELECT doc_id AS request_id, 5 AS results, true
 ORACLES["recommend_full"] = """SELECT 0 AS bad_ranks, 0 AS bad_requests, 0 AS bad_clusters, 0 AS bad_scores,
   true AS has_rows"""
 
+ORACLES["term_map_file"] = """SELECT p_name || '-' || p_partkey AS term, p_brand || chr(9) || p_type AS replacement
+FROM part"""
+ORACLES["term_map_file_trimmed"] = "SELECT p_name || '-' || p_partkey AS term, p_brand AS replacement FROM part"
+ORACLES["word_list_file"] = "SELECT DISTINCT p_name AS term FROM part"
+ORACLES["companies_csv"] = ORACLES["companies_parquet"] = """SELECT c_custkey AS id, c_name AS company_name,
+  c_mktsegment || chr(10) || '"quoted", second line' AS company_overview, c_mktsegment AS company_type FROM customer"""
+ORACLES["model_report_files"] = f"""{FAMILY}, best AS (SELECT model, accuracy FROM results ORDER BY accuracy DESC, model LIMIT 1)
+SELECT CASE family WHEN 'neighbours' THEN 'sklearn' ELSE 'pyspark' END AS family, results.model,
+  round(results.accuracy, 8) AS accuracy, best.model AS recorded_best,
+  printf('%.2f', best.accuracy * 100) || '%' AS best_accuracy_text
+FROM results CROSS JOIN best"""
+
 # The second way of a job has the SQL of the first.
 for second, first in {
     "normalize_text_join": "normalize_text",
     "tfidf_weights_a_split": "tfidf_weights_a",
     "search_a_blocks": "search_a",
     "search_b_blocks": "search_b",
+    "search_a_loaded": "search_a",
+    "written_results": "point_lookup",
     "similar_pairs_prefixes": "similar_pairs",
     "similar_pairs_grid": "similar_pairs",
     "similar_pairs_text_grid": "similar_pairs_text",
