@@ -11,8 +11,8 @@ hash. ROWS samples make a band. Texts with equal tokens are one node; nodes that
 
 - Each band compares its pivot, the node with most neighbours in all its bands, with the others. Links are verified on
   the texts, and their components are classes.
-- What is not in its pivot's class goes on to the next round, where nodes must share one more (later) band, with a new
-  pivot. Pairs of 0.8 or more share 6.5 of 16 bands on average; texts around one shared passage soon part. No pairs of
+- What is not in its pivot's class (those of the first round) or linked to it goes on to the next round, where nodes must
+  share one more (later) band, with a new pivot. Pairs of 0.8 or more share 6.5 of 16 bands on average; texts around one shared passage soon part. No pairs of
   a group are listed, and there are at most as many rounds as bands.
 
 A class is named by its least doc_id.
@@ -259,7 +259,8 @@ def link_classes(signed: DataFrame, docs: DataFrame, levels: np.ndarray, thresho
     scores = stored(scores.select("node", "score", "of.*"), "scores")
     rows = bands_of.select(F.col("hash").alias("key"), "node", "weight", "band").join(scores.select("node", "score"), "node")
     held = stored(_held(rows), "held")
-    texts = docs.join(scores.select("node", "doc_id", "row", "weight"), ["doc_id", "row"])
+    # Never broadcast: what is moved follows the input at every size.
+    texts = docs.join(scores.select("node", "doc_id", "row", "weight").hint("merge"), ["doc_id", "row"])
     texts = stored(texts.groupBy("node").agg(F.first("text").alias("text"), F.first("weight").alias("weight")), "texts")
     heavy = texts.select(F.col("node").alias("a"), F.col("weight").alias("weight_a"))
     found, tested, roots = [], [], docs.sparkSession.createDataFrame([], "node long, root long")
@@ -271,10 +272,19 @@ def link_classes(signed: DataFrame, docs: DataFrame, levels: np.ndarray, thresho
         tested.append(pairs.select("a", "b"))
         alike = F.least("weight_a", "weight_b") >= (threshold - 1e-9) * F.greatest("weight_a", "weight_b")
         new = stored(_verified(pairs.where(alike).select("a", "b"), texts, levels, threshold), "found")
-        if not new.isEmpty():
-            found.append(new)
-            roots = stored(components(reduce(DataFrame.unionByName, found)), "roots")
-        held = stored(_held(_narrowed(_apart(held, roots), bands_of)), "held")
+        found.append(new)
+        if len(found) == 1:
+            roots = stored(components(new), "roots")
+        # Later rounds find few links: their classes are made once, at the end.
+        linked = new.select(F.col("a").alias("pivot"), F.col("b").alias("node"))
+        left = _apart(held, roots).join(linked, ["pivot", "node"], "left_anti")
+        # A node that is left alone under a key has met all others there.
+        several = left.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+        left = left.join(several, "key", "left_semi")
+        held = stored(_held(_narrowed(left, bands_of)), "held")
+    later = found[1:]
+    if any(not x.isEmpty() for x in later):
+        roots = stored(components(reduce(DataFrame.unionByName, found)), "roots")
     return roots
 
 
