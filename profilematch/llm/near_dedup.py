@@ -9,11 +9,11 @@ Improved consistent weighted sampling (Ioffe, 2010) draws SAMPLES pairs (shingle
 sample with their weighted Jaccard similarity as probability. Its random numbers come from a fixed table by shingle
 hash. ROWS samples make a band. Texts with equal tokens are one node; nodes that share a band are candidates:
 
-- Each band compares its pivot, the node with most neighbours in all its bands, with the others. Links are verified on
-  the texts, and their components are classes.
-- What is not in its pivot's class (those of the first round) or linked to it goes on to the next round, where nodes must
-  share one more (later) band, with a new pivot. Pairs of 0.8 or more share 6.5 of 16 bands on average; texts around one shared passage soon part. No pairs of
-  a group are listed, and there are at most as many rounds as bands.
+- Each band first compares its pivot, the node with most neighbours in all its bands, with the others. Links are
+  verified on the texts, and their components are classes. This settles bands that hold one class.
+- A band that holds several classes after that is compared whole: its nodes are dealt into blocks, every two blocks
+  meet in a task of their own, and each pair of nodes from different classes is compared there. Blocks of one and the
+  same class don't meet. So every pair that shares a band has been compared or was in one class before.
 
 A class is named by its least doc_id.
 
@@ -24,7 +24,6 @@ doc_id and different texts are told apart. Repeated rows are in one class. Extra
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +46,8 @@ BLOCKS = 64
 FREQUENT = 0.005
 TABLE = 1 << 14
 PIECE = 2048
+#: Nodes, and weight of their shingles, in a block of a band.
+BLOCK_NODES, BLOCK_WEIGHT = 256, 200_000
 
 _random = np.random.default_rng(20240609)
 _R = _random.gamma(2.0, 1.0, (TABLE, SAMPLES)).astype(np.float32)
@@ -234,19 +235,98 @@ def _held(rows: DataFrame) -> DataFrame:
     return rows.join(of.drop("size"), "key").where("node <> pivot")
 
 
-def _narrowed(left: DataFrame, bands_of: DataFrame) -> DataFrame:
-    """Rows that remain, once for each later band of their node: nodes must share that band as well."""
-    later = bands_of.select("node", F.col("band").alias("next"), "hash")
-    joined = left.select("key", "node", "weight", "band", "score").join(later, "node").where("next > band")
-    return joined.select(F.xxhash64("key", "hash").alias("key"), "node", "weight", F.col("next").alias("band"), "score")
+def _cells(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """(cell, side, node, root): the blocks that meet, of keys whose three or more nodes are in several classes.
 
+    A class that fills a block in its key has blocks of its own, other classes share blocks; no class is cut there.
+    """
+    own = rows.select("key", "node", "weight").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    own = stored(own, "rooted")
+    count = lambda n, w: F.ceil(F.greatest(n / BLOCK_NODES, w / BLOCK_WEIGHT)).cast("int")
+    sized = own.groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
+    sized = sized.withColumn("own_parts", count(F.col("n"), F.col("w")))
+    small = F.col("own_parts") == 1
+    of_key = sized.groupBy("key").agg(
+        F.count("*").alias("roots"), F.sum("n").alias("size"),
+        count(F.sum(F.when(small, F.col("n"))), F.sum(F.when(small, F.col("w")))).alias("small_parts"),
+    ).where("roots > 1 and size > 2")
+    dealt = sized.join(of_key.select("key", "small_parts"), "key").select("key", "root", "own_parts", "small_parts")
+    part = F.when(small, F.pmod(F.xxhash64("root"), F.col("small_parts"))).otherwise(F.pmod(F.xxhash64("node"), F.col("own_parts")))
+    of = F.when(~small, F.col("root"))  # null: a block of several classes
+    blocked = stored(own.join(dealt, ["key", "root"]).select("key", "node", "root", of.alias("of"), part.alias("part")), "blocked")
+    blocks = blocked.groupBy("key", "of", "part").agg(F.count("*").alias("n")).withColumn("block", F.xxhash64("of", "part"))
+    one, two = (blocks.select("key", F.col("block").alias(f"block_{k}"), F.col("of").alias(f"of_{k}")) for k in (0, 1))
+    meet = one.join(two, "key").where("block_0 <= block_1 and (of_0 is null or of_1 is null or of_0 <> of_1)")
+    meet = meet.withColumn("cell", F.xxhash64("key", "block_0", "block_1"))
+    side = lambda k: F.struct(F.lit(k).alias("side"), F.col(f"block_{k}").alias("block"))
+    sides = F.when(F.col("block_0") == F.col("block_1"), F.array(side(0))).otherwise(F.array(side(0), side(1)))
+    meet = meet.select("key", "cell", F.explode(sides).alias("s")).select("key", "cell", "s.*")
+    return meet.join(blocked.withColumn("block", F.xxhash64("of", "part")), ["key", "block"]).select("cell", "side", "node", "root")
+
+
+def cell_links(own: list[tuple[np.ndarray, np.ndarray]], root: np.ndarray, side: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Pairs of texts that link the classes of a cell; with two sides, only pairs across them are compared.
+
+    All pairs of different classes are compared, but those that links found here have brought into one class.
+    """
+    group = np.unique(root, return_inverse=True)[1]
+    total = np.array([w.sum() for _, w in own])
+    text = np.repeat(np.arange(len(own)), [len(d) for d, _ in own])
+    _, shingle, often = np.unique(np.concatenate([d for d, _ in own]), return_inverse=True, return_counts=True)
+    weight = np.concatenate([w for _, w in own])
+    shared = often[shingle] > 1
+    text, shingle, weight = text[shared], shingle[shared], weight[shared]
+    bounds = np.searchsorted(text, np.arange(len(own) + 1))
+    first = np.zeros(len(often))
+    across = side.min() < side.max()
+    lesser = 0 if (side == 0).sum() <= (side == 1).sum() else 1
+    out = []
+    for i in np.flatnonzero(side == lesser) if across else range(len(own)):
+        alike = np.minimum(total[i], total) >= (threshold - 1e-9) * np.maximum(total[i], total)
+        alike &= (group != group[i]) & ((side != lesser) if across else (np.arange(len(own)) > i))
+        if not alike.any():
+            continue
+        a, b = bounds[i], bounds[i + 1]
+        first[shingle[a:b]] = weight[a:b]
+        low = 0 if across else b
+        least = np.bincount(text[low:], np.minimum(first[shingle[low:]], weight[low:]), minlength=len(own))
+        first[shingle[a:b]] = 0
+        for j in np.flatnonzero(alike & (least >= threshold * (total[i] + total - least))):
+            if group[j] != group[i]:
+                out.append((int(i), int(j)))
+                group[group == group[j]] = group[i]
+    return out
+
+
+def _compared(cells: DataFrame, texts: DataFrame, levels: np.ndarray, threshold: float) -> DataFrame:
+    """Links (a, b) between the classes of each cell."""
+    sent = cells.sparkSession.sparkContext.broadcast(levels)
+
+    def links(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        cell = pa.Table.from_batches(parts)
+        own = []
+        for part in parts:
+            for few in slices(part, "text"):
+                own += [weigh(x, sent.value) for x in shingles(few.column("text"))[0]]
+        node = cell.column("node").to_numpy()
+        found = np.array(cell_links(own, cell.column("root").to_numpy(), cell.column("side").to_numpy(), threshold), np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(node[found[:, 0]]), pa.array(node[found[:, 1]])], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            cell = batch.column("cell").to_numpy()
+            starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else []
+            for a, b in zip(starts, [*starts[1:], len(cell)]):
+                if held and held[0].column("cell")[0].as_py() != cell[a]:
+                    yield links(held)
+                    held = []
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield links(held)
 
-def _apart(held: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows whose node and pivot are in different classes so far."""
-    own = roots.select("node", F.col("root").alias("root_n"))
-    other = roots.select(F.col("node").alias("pivot"), F.col("root").alias("root_p"))
-    both = held.join(own, "node", "left").join(other, "pivot", "left")
-    return both.where(F.coalesce("root_n", "node") != F.coalesce("root_p", "pivot"))
+    rows = cells.join(texts.select("node", "text"), "node").repartition("cell").sortWithinPartitions("cell")
+    return rows.select("cell", "side", "node", "root", "text").mapInArrow(run, "a long, b long")
 
 
 def link_classes(signed: DataFrame, docs: DataFrame, levels: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
@@ -263,29 +343,16 @@ def link_classes(signed: DataFrame, docs: DataFrame, levels: np.ndarray, thresho
     texts = docs.join(scores.select("node", "doc_id", "row", "weight").hint("merge"), ["doc_id", "row"])
     texts = stored(texts.groupBy("node").agg(F.first("text").alias("text"), F.first("weight").alias("weight")), "texts")
     heavy = texts.select(F.col("node").alias("a"), F.col("weight").alias("weight_a"))
-    found, tested, roots = [], [], docs.sparkSession.createDataFrame([], "node long, root long")
-    while not held.isEmpty():
-        pairs = held.select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.col("weight").alias("weight_b")).distinct()
-        for before in tested:
-            pairs = pairs.join(before, ["a", "b"], "left_anti")
-        pairs = stored(pairs.join(heavy, "a"), "pairs")
-        tested.append(pairs.select("a", "b"))
-        alike = F.least("weight_a", "weight_b") >= (threshold - 1e-9) * F.greatest("weight_a", "weight_b")
-        new = stored(_verified(pairs.where(alike).select("a", "b"), texts, levels, threshold), "found")
-        found.append(new)
-        if len(found) == 1:
-            roots = stored(components(new), "roots")
-        # Later rounds find few links: their classes are made once, at the end.
-        linked = new.select(F.col("a").alias("pivot"), F.col("b").alias("node"))
-        left = _apart(held, roots).join(linked, ["pivot", "node"], "left_anti")
-        # A node that is left alone under a key has met all others there.
-        several = left.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-        left = left.join(several, "key", "left_semi")
-        held = stored(_held(_narrowed(left, bands_of)), "held")
-    later = found[1:]
-    if any(not x.isEmpty() for x in later):
-        roots = stored(components(reduce(DataFrame.unionByName, found)), "roots")
-    return roots
+    pairs = held.select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.col("weight").alias("weight_b")).distinct()
+    alike = F.least("weight_a", "weight_b") >= (threshold - 1e-9) * F.greatest("weight_a", "weight_b")
+    pairs = stored(pairs.join(heavy, "a").where(alike).select("a", "b"), "pairs")
+    found = stored(_verified(pairs, texts, levels, threshold), "found")
+    roots = stored(components(found), "roots")
+    cells = stored(_cells(rows, roots), "cells")
+    if cells.isEmpty():
+        return roots
+    more = stored(_compared(cells, texts, levels, threshold), "more")
+    return roots if more.isEmpty() else stored(components(found.unionByName(more)), "roots")
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -58,6 +58,30 @@ def test_a_shared_passage_is_no_near_duplicate(spark):
     assert near_dedup.classes(table(spark, data)).where("class_size > 1").count() == 0
 
 
+def copies_of_copies(seed, n, edits):
+    """Each text is an edited copy of an earlier one: a class holds together by links between its members only."""
+    r = random.Random(seed)
+    texts = [words(r, 120)]
+    while len(texts) < n:
+        own = list(r.choice(texts))
+        for _ in range(edits):
+            own[r.randrange(len(own))] = f"edit{r.randrange(10**9)}"
+        texts.append(own)
+    return [" ".join(t) for t in texts]
+
+
+@pytest.mark.parametrize("block", [256, 12])
+def test_near_duplicates_of_copies_of_copies(spark, monkeypatch, block):
+    """Links between texts that are no pivots count as well, also where a bucket is compared block by block."""
+    monkeypatch.setattr(near_dedup, "BLOCK_NODES", block, raising=False)
+    texts = [t for seed in (1, 2) for t in copies_of_copies(seed, 110, 2)]
+    data = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    got = near_dedup.classes(table(spark, data)).select("doc_id", "class_id", "class_size").collect()
+    expected = plain_classes(data)
+    assert {c for _, c, _ in expected} == {0, 110}
+    matching([tuple(r) for r in got], expected)
+
+
 def test_sampling_agrees_with_weighted_jaccard():
     r = np.random.default_rng(1)
     hashes = np.sort(r.integers(0, 2**63, 900).astype(np.uint64))
