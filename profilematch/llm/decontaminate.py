@@ -4,7 +4,8 @@ A seed is a fixed mask over SPAN tokens; tokens at its zeros are ignored, so a c
 other windows of that passage intact. Hashes of the benchmark's masked windows meet those of the documents where the
 documents lie: nothing but the benchmark moves. Each meeting fixes a diagonal (place in the document minus place in
 the item); along it, the best run (+1 for an equal token, -2 for another) is an overlap. A document is contaminated if
-some overlap has at least ``LEAST`` equal tokens, or 80 % of a shorter item.
+some overlap has at least ``LEAST`` equal tokens, or if 80 % of an item's tokens are equal along the whole diagonal.
+Items of up to ``BRIEF`` tokens are also seeded by 3 or 4 tokens in a row, which 80 % of such an item always leave.
 
 Tokens are runs of letters and digits in lower case (every character beyond ASCII counts as a letter). The benchmark
 is read in blocks of BLOCK_TOKENS, items longer than that in overlapping pieces, and one step per block looks through
@@ -28,10 +29,10 @@ from profilematch.llm import hashing as H
 from profilematch.llm.common import slices, tokens
 
 U = np.uint64
-#: Fixed masks; the last one is for items that are shorter than the others' span.
+#: Fixed masks; the brief ones are for items of up to BRIEF tokens.
 MASKS = ("11011001011", "11100110101", "10111010011")
-SHORT_MASK = "11111111"
-SPAN, SHORT = len(MASKS[0]), len(SHORT_MASK)
+BRIEF_MASKS = ("111", "1111")
+SPAN, SHORT, BRIEF = len(MASKS[0]), 8, 20
 LEAST = 13
 MISMATCH = 2
 BLOCK_TOKENS = 200_000
@@ -53,6 +54,12 @@ def seeds(units: np.ndarray, mask: str) -> np.ndarray:
     return H.mix(total)
 
 
+def least_run(n: np.ndarray) -> np.ndarray:
+    """Equal tokens in a row that are left wherever a fifth of n tokens is changed."""
+    changed = n // 5
+    return -(-(n - changed) // (changed + 1))
+
+
 class Block:
     """Some items of the benchmark, and for each mask a sorted table of seed hashes."""
 
@@ -64,11 +71,12 @@ class Block:
         self.units = np.concatenate([u for _, _, u in items]) if items else np.zeros(0, U)
         self.tables = []
         own = np.repeat(np.arange(len(items)), sizes)
-        for mask in (*MASKS, SHORT_MASK):
+        for mask in (*MASKS, *BRIEF_MASKS):
             n = max(0, len(self.units) - len(mask) + 1)
             inside = own[:n] == own[len(mask) - 1 :]
-            if mask == SHORT_MASK:
-                inside &= sizes[own[:n]] < SPAN
+            if mask in BRIEF_MASKS:
+                whole = self.whole[own[:n]]
+                inside &= (whole <= BRIEF) & (np.minimum(least_run(whole), len(BRIEF_MASKS[-1])) == len(mask))
             at = np.flatnonzero(inside)
             hashes = seeds(self.units, mask)[at]
             order = np.argsort(hashes, kind="stable")
@@ -96,8 +104,8 @@ class Block:
             found.append(np.stack([doc[place], piece, diagonal], axis=1))
         return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
 
-    def overlap(self, units: np.ndarray, piece: int, diagonal: int) -> int:
-        """Equal tokens in the best run along a diagonal."""
+    def overlap(self, units: np.ndarray, piece: int, diagonal: int) -> tuple[int, int]:
+        """Equal tokens in the best run along a diagonal, and on all of it inside the piece."""
         own = self.units[self.begin[piece] : self.begin[piece + 1]]
         a, b = max(0, -diagonal), min(len(own), len(units) - diagonal)
         same = own[a:b] == units[a + diagonal : b + diagonal]
@@ -105,7 +113,7 @@ class Block:
         gain = total - np.minimum.accumulate(total)
         end = int(np.argmax(gain))
         start = int(np.argmin(total[: end + 1]))
-        return int(same[start:end].sum())
+        return int(same[start:end].sum()), int(same.sum())
 
     def matches(self, column: pa.Array) -> list[dict[int, int]]:
         """For each text: the items that it holds, with the longest overlap."""
@@ -113,9 +121,11 @@ class Block:
         begins = np.searchsorted(doc, np.arange(len(column) + 1))
         out: list[dict[int, int]] = [{} for _ in range(len(column))]
         for d, piece, diagonal in self.hits(units, doc, begins).tolist():
-            n = self.overlap(units[begins[d] : begins[d + 1]], piece, diagonal)
-            item = int(self.item[piece])
-            if n >= min(LEAST, -(-4 * int(self.whole[piece]) // 5)) and n > out[d].get(item, 0):
+            n, inside = self.overlap(units[begins[d] : begins[d + 1]], piece, diagonal)
+            item, most = int(self.item[piece]), -(-4 * int(self.whole[piece]) // 5)
+            if inside >= most:  # changed ends count in: the item as a whole is there
+                n = max(n, inside)
+            if n >= min(LEAST, most) and n > out[d].get(item, 0):
                 out[d][item] = n
         return out
 

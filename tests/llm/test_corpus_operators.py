@@ -125,6 +125,27 @@ def test_decontamination(spark, limit):
     assert decontaminate.find_matches(table(spark).limit(0), bench).collect() == []
 
 
+def test_decontamination_of_changed_short_items(spark):
+    """Items of 8 to 20 tokens are found wherever a fifth of them is changed, ends included; one more change is clean."""
+    r = random.Random(12)
+    items = [(n, " ".join(f"w{n}x{k}" for k in range(n))) for n in range(8, 21)]
+    data, expected = [], {}
+    for n, text in items:
+        for trial in range(12):
+            own, doc = text.split(" "), 1000 * n + trial
+            few = n // 5 + (trial == 11)
+            places = [0, n - 1, n // 2, n // 3][:few] if trial == 0 else r.sample(range(n), few)
+            for k in places:
+                own[k] = "other"
+            data.append((doc, f"{prose(r, 40)} {' '.join(own)} {prose(r, 40)}", "en", "s", 0))
+            if trial < 11:
+                expected[doc] = [n]
+            elif n - few >= 13:
+                data.pop()  # a run of 13 may count on its own
+    out = decontaminate.find_matches(table(spark, data), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r.doc_id: [m.item_id for m in r.matches] for r in out.collect() if r.matches} == expected
+
+
 def plain_marginals(w, emission, first):
     """Forward and backward passes token by token."""
     out, n = np.zeros(len(emission)), len(emission)
