@@ -94,3 +94,46 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND o.r IS NULL AS kept
 FROM metrics m LEFT JOIN outside o ON m.r = o.r
 """
+
+ORACLES["op11_lexical_search"] = r"""
+WITH terms AS (
+  SELECT r, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents)
+), sizes AS (
+  SELECT r, count(*) AS n FROM terms GROUP BY r
+), corpus AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sizes
+), postings AS (
+  SELECT r, doc_id, term, count(*) AS tf FROM terms GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM postings, corpus GROUP BY term, docs
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), scored AS (
+  SELECT item_id, p.r, doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN postings p USING (term) JOIN sizes USING (r), corpus
+  GROUP BY item_id, p.r, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+) WHERE rank <= 10
+"""
+
+ORACLES["op13_warc"] = """
+WITH bodies AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS size, coalesce(html, '') AS html FROM pages
+), chosen AS (
+  SELECT html, max(page_id) AS best FROM bodies WHERE size >= 1000 GROUP BY html
+)
+SELECT page_id, size AS payload_bytes, sha1(b.html) AS payload_digest,
+  CASE WHEN best <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN best <> page_id THEN best END AS refers_to
+FROM bodies b LEFT JOIN chosen c ON b.html = c.html
+"""

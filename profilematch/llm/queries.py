@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from profilematch.llm import bpe, chat, decontaminate, near_dedup, quality_model, quality_rules, samples
-from profilematch.llm import secrets, substring_dedup, suffix_dedup, toxicity
+from profilematch.llm import bpe, chat, decontaminate, lexical_search, near_dedup, quality_model, quality_rules, samples
+from profilematch.llm import secrets, spelling, substring_dedup, suffix_dedup, toxicity, warc
 from profilematch.llm.common import read_table
 from profilematch.session import spread
 
@@ -111,6 +111,21 @@ def quality(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", *columns, "base_failed", "kept")
 
 
+def ranked_documents(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf).select("doc_id", "text")
+    return lexical_search.search(docs, read_table(spark, sf, "benchmark"))
+
+
+def spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf).select("doc_id", "text"))
+
+
+def archived_pages(spark: SparkSession, sf: str) -> DataFrame:
+    catalogue = warc.write_archives(spread(read_table(spark, sf, "pages"), "page_id"))
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return warc.read_archives(catalogue).select(*columns)
+
+
 QUERIES = {
     "op1_near_dedup": near_duplicates,
     "op2_secret_scan": secret_scan,
@@ -122,5 +137,8 @@ QUERIES = {
     "op8_quality_rules": quality,
     "op9_quality_classifier": quality_scores,
     "op10_decontamination": decontamination,
+    "op11_lexical_search": ranked_documents,
+    "op12_spelling_variants": spelling_variants,
+    "op13_warc": archived_pages,
     "pipeline": corpus_pipeline.run,
 }
