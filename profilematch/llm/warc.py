@@ -40,6 +40,8 @@ from profilematch.session import fits, shared_folder
 DEDUP_BYTES = 1000
 SAMPLE_BYTES, DICTIONARY_BYTES = 1 << 20, 64 << 10
 BLOCK_BYTES = 4 << 20
+#: Bytes before compression that one task reads back, on average.
+TASK_BYTES = 64 << 20
 LEVEL = 3
 # Fixed values of the formats: the dictionary's skippable frame, and the profile of revisit records.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -306,8 +308,10 @@ def read_archives(catalogue: DataFrame) -> DataFrame:
                 if held:
                     yield batch_of(held)
 
-    blocks = catalogue.select("file", "first", "past")
-    return blocks.repartition("file", "first").mapInArrow(run, RECORDS)
+    raw = catalogue.agg(F.sum("raw_bytes")).first()[0] or 0
+    tasks = max(catalogue.sparkSession.sparkContext.defaultParallelism, raw // TASK_BYTES)
+    # with a number of its own: these rows are few and short, and would be gathered in one task otherwise
+    return catalogue.select("file", "first", "past").repartition(tasks, "file", "first").mapInArrow(run, RECORDS)
 
 
 def payloads(records: DataFrame) -> DataFrame:
