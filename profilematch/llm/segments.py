@@ -9,8 +9,11 @@ minimiser's bucket as one string, and equal windows still meet. Three steps:
 3. ``spans_of``: the occurrences of the strings, small rows without text, take over the marks.
 
 A minimiser with so many strings that its bucket would outgrow a task (a passage that many documents share, each with
-its own surroundings) is *hot*. Its windows travel one by one, as fingerprints of 128 bits, to buckets of their own.
-There are at most 16 hot minimisers for each shuffle partition, whatever the size of the data.
+its own surroundings) is *hot*. Its windows are told apart by where the minimiser lies in them: those in which it lies
+in one range of LEVELS[0] places have a common core, and its hash is their bucket. Runs of them still travel as one
+string. A core that is hot as well (it ends where the surroundings begin) is split by ranges of LEVELS[1] places, and
+only the few windows of a range that is still hot travel one by one, as fingerprints of 128 bits, to buckets of their
+own. There are at most 16 hot minimisers for each shuffle partition, and as many hot cores of each level.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +45,19 @@ class Kind:
     #: Bytes of text, and of strings in whole buckets, that are worked on at a time.
     slice_bytes: int = 2 << 20
     group_bytes: int = 4 << 20
+    #: Places of the minimiser that share a core, for hot minimisers and for hot cores.
+    levels: tuple[int, int] = (32, 4)
+
+
+@dataclass(frozen=True)
+class Hot:
+    """What outgrows a bucket: minimisers, and cores of both levels."""
+
+    values: np.ndarray
+    cores: tuple[np.ndarray, np.ndarray]
+
+
+NONE = Hot(np.zeros(0, U), (np.zeros(0, U), np.zeros(0, U)))
 
 
 def _normal(column: pa.Array, words: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -83,31 +99,54 @@ class Found:
     h1: np.ndarray
     h2: np.ndarray
     twice: np.ndarray  # the minimiser may occur twice in the segment
-    hot: np.ndarray
+    hot: np.ndarray  # a single window
+    level: np.ndarray
+
+
+def _cores(u1: np.ndarray, at: np.ndarray, place: np.ndarray, kind: Kind, level: int) -> np.ndarray:
+    """The hash of the units that windows ``at`` share with all windows whose minimiser lies in the same range of places."""
+    size = kind.levels[level]
+    starts, which = np.unique(at + place % size, return_inverse=True)
+    return (H.span_hashes(u1, starts, starts + kind.width - size + 1) ^ U(level + 1))[which] & U(2**63 - 1)
 
 
-def find(u1: np.ndarray, u2: np.ndarray, doc: np.ndarray, kind: Kind, hot: np.ndarray) -> Found:
+def find(u1: np.ndarray, u2: np.ndarray, doc: np.ndarray, kind: Kind, hot: Hot, only: int | None = None) -> Found:
+    """Segments of the texts. ``only``: put all windows of hot minimisers on this level, to count."""
     n = len(u1) - kind.width + 1
     if n <= 0:
         none = np.zeros(0, np.int64)
-        return Found(none, none, none, *[none.astype(U)] * 3, none.astype(bool), none.astype(bool))
+        return Found(none, none, none, *[none.astype(U)] * 3, none.astype(bool), none.astype(bool), none)
     grams = H.window_hashes(u1, kind.gram)
     keys = (grams >> POSITION << POSITION) | (np.arange(len(grams), dtype=U) & U((1 << 24) - 1))
     least = H.sliding_min(keys, kind.width - kind.gram + 1)
     value = least >> POSITION
     whole = doc[:n] == doc[kind.width - 1 :]
-    alone = np.isin(value, hot) if len(hot) else np.zeros(n, bool)
+    route, level = value & U(2**63 - 1), np.zeros(n, np.int8)
+    at = np.flatnonzero(np.isin(value, hot.values) & whole) if len(hot.values) else np.zeros(0, np.int64)
     breaks = np.ones(n, bool)
-    breaks[1:] = (value[1:] != value[:-1]) | ~whole[:-1] | alone[1:]
+    breaks[1:] = (value[1:] != value[:-1]) | ~whole[:-1]
+    if len(at):
+        part = np.zeros(n, np.int64)
+        # where the minimiser lies in the window; the low 24 bits tell it, as it is less than a window away
+        place = (least[at].astype(np.int64) - at) & ((1 << 24) - 1)
+        for deep in (1, 2):
+            if only not in (None, deep):
+                continue
+            cores = _cores(u1, at, place, kind, deep - 1)
+            route[at], level[at], part[at] = cores, deep, at + place % kind.levels[deep - 1]
+            still = np.isin(cores, hot.cores[deep - 1])
+            at, place = at[still], place[still]
+        level[at], part[at] = (3, at) if only is None else (only, part[at])
+        breaks[1:] |= (level[1:] != level[:-1]) | (part[1:] != part[:-1]) | ((level[1:] > 0) & (least[1:] != least[:-1]))
     first = np.flatnonzero(breaks & whole)
     ends = np.ones(n, bool)
     ends[:-1] = breaks[1:] | ~whole[1:]
     last = np.flatnonzero(ends & whole)
     h1 = H.span_hashes(u1, first, last + kind.width, H.BASES[0])
     h2 = H.span_hashes(u2, first, last + kind.width, H.BASES[1])
-    is_hot = alone[first]
-    route = np.where(is_hot, h1, value[first]) & U(2**63 - 1)
-    return Found(first, last, doc[first], route, h1, h2, least[first] != least[last], is_hot)
+    single = level[first] == 3
+    route = np.where(single, h1 & U(2**63 - 1), route[first])
+    return Found(first, last, doc[first], route, h1, h2, least[first] != least[last], single, level[first])
 
 
 def _once(found: Found) -> tuple[np.ndarray, np.ndarray]:
@@ -132,7 +171,7 @@ _SEGMENTS = T.StructType(
 )
 
 
-def segments_of(docs: DataFrame, kind: Kind, hot: np.ndarray) -> DataFrame:
+def segments_of(docs: DataFrame, kind: Kind, hot: Hot) -> DataFrame:
     """(route, fp, packed, n, low, high, twice): each distinct segment of a slice of rows; who ranges from low to high."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,25 +204,51 @@ def segments_of(docs: DataFrame, kind: Kind, hot: np.ndarray) -> DataFrame:
     return docs.select("who", "text").mapInArrow(run, _SEGMENTS)
 
 
-def hot_routes(docs: DataFrame, kind: Kind, least: int = MIN_HOT) -> np.ndarray:
-    """Minimisers with more strings than a sixteenth of a shuffle partition's share (and ``least``)."""
+#: The route under which the number of all strings is counted.
+ALL = -1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", kind.slice_bytes):
-                u1, u2, doc, _, _ = _units(*_normal(part.column("text"), kind.words), kind.words)
-                found = find(u1, u2, doc, kind, np.zeros(0, U))
-                if len(found.first):
-                    order, begin = _once(found)
-                    routes, n = np.unique(found.route[order[begin]].astype(np.int64), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(routes), pa.array(n)], ["route", "n"])
+
+def _units_of(kind: Kind, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for part in slices(batch, "text", kind.slice_bytes):
+            yield _units(*_normal(part.column("text"), kind.words), kind.words)[:3]
+
+
+def hot_routes(docs: DataFrame, kind: Kind, least: int = MIN_HOT) -> Hot:
+    """Minimisers and cores with more strings than a sixteenth of a shuffle partition's share (and ``least``)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for units in _units_of(kind, batches):
+            found = find(*units, kind, NONE)
+            order, begin = _once(found)
+            routes, n = np.unique(found.route[order[begin]].astype(np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([ALL, *routes.tolist()]), pa.array([len(begin), *n.tolist()])], ["route", "n"])
 
     spark = docs.sparkSession
-    seen = Observation()
-    counted = docs.select("text").mapInArrow(run, "route long, n long").groupBy("route").agg(F.sum("n").alias("n"))
-    many = stored(counted.observe(seen, F.sum("n").alias("total")).where(F.col("n") > least), "routes")
-    share = (seen.get["total"] or 0) / (16 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return np.array([r.route for r in many.where(F.col("n") > share).collect()], dtype=U)
+    counted = docs.select("text").mapInArrow(count, "route long, n long").groupBy("route").agg(F.sum("n").alias("n"))
+    many = stored(counted.where((F.col("n") > least) | (F.col("route") == ALL)), "routes")
+    total = many.where(F.col("route") == ALL).agg(F.max("n")).first()[0] or 0
+    bound = max(least, total / (16 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    over = lambda df: np.array([r.route for r in df.where((F.col("n") > bound) & (F.col("route") != ALL)).collect()], dtype=U)
+    values = over(many)
+    if not len(values):
+        return NONE
+    hot = Hot(values, NONE.cores)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The strings of hot minimisers by their cores, of both levels."""
+        for units in _units_of(kind, batches):
+            for level in (1, 2):
+                found = find(*units, kind, hot, level)
+                order, begin = _once(found)
+                pick = order[begin]
+                pick = pick[found.level[pick] == level]
+                columns = [pa.array(np.full(len(pick), level, np.int32)), pa.array(found.route[pick].astype(np.int64))]
+                yield pa.RecordBatch.from_arrays([*columns, fingerprints(found.h1[pick], found.h2[pick])], ["level", "route", "fp"])
+
+    strings = docs.select("text").mapInArrow(split, "level int, route long, fp binary").distinct()
+    cores = stored(strings.groupBy("level", "route").agg(F.count("*").alias("n")).where(F.col("n") > bound), "cores")
+    return Hot(values, tuple(over(cores.where(F.col("level") == level)) for level in (1, 2)))
 
 
 _MARK = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType()), T.StructField("who", T.LongType())])
@@ -266,7 +331,7 @@ def marks_of(segments: DataFrame, kind: Kind, bucket: Bucket) -> DataFrame:
     return segments.repartition("route").sortWithinPartitions("route").mapInArrow(run, _MARKS)
 
 
-def spans_of(docs: DataFrame, kind: Kind, hot: np.ndarray, marks: DataFrame) -> DataFrame:
+def spans_of(docs: DataFrame, kind: Kind, hot: Hot, marks: DataFrame) -> DataFrame:
     """(who, row, spans): for each row of ``docs`` with affected windows, ranges of their first units."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

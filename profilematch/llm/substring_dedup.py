@@ -23,7 +23,7 @@ from profilematch.llm.common import row_key, slices, stored, text_bytes
 from profilematch.llm.segments import Kind, Strings, covered, hot_routes, marks_of, segments_of, spans_of
 
 WIDTH = 50
-KIND = Kind(width=WIDTH, gram=4, words=True)
+KIND = Kind(width=WIDTH, gram=4, words=True, levels=(8, 2))
 
 
 def _bucket(s: Strings):

@@ -47,15 +47,15 @@ def plain_bytes(data):
     return out
 
 
-@pytest.mark.parametrize("min_hot", [None, 0])
+@pytest.mark.parametrize("min_hot", [None, 0, 2])
 def test_words(spark, min_hot):
-    """Whole strings and single windows (every minimiser hot) give one result."""
+    """Whole strings, strings of hot minimisers split by cores, and single windows (all is hot) give one result."""
     out = substring_dedup.dedup_substrings(table(spark, extra=True), min_hot)
     got = [tuple(r) for r in out.select("doc_id", "n_words", "n_removed", "kept_text").collect()]
     matching(got, plain_words(rows()))
 
 
-@pytest.mark.parametrize("min_hot", [None, 0])
+@pytest.mark.parametrize("min_hot", [None, 0, 2])
 def test_bytes(spark, min_hot):
     out = suffix_dedup.dedup_bytes(table(spark, extra=True), min_hot).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept")
     got = [(*r[:4], bytes(r.kept)) for r in out.collect()]
@@ -105,3 +105,20 @@ def test_suffix_array_and_repeats():
 
 def test_covered():
     assert covered([{"a": 1, "b": 2}, {"a": 5, "b": 7}], 12, 3).tolist() == [False] + [True] * 3 + [False] + [True] * 4 + [False] * 3
+
+
+@pytest.mark.parametrize("min_hot", [3, 12])
+def test_one_passage_in_many_surroundings(spark, min_hot):
+    """Its minimisers are hot, and so are the cores where the surroundings begin."""
+    import random
+
+    from tests.llm.fixtures import prose
+
+    r = random.Random(11)
+    passage = prose(r, 150)
+    data = [(k, f"{prose(r, 70)} {passage} {prose(r, 70)}", None, None, None) for k in range(60)]
+    docs = table(spark, data)
+    out = suffix_dedup.dedup_bytes(docs, min_hot).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect()
+    matching([(*r[:4], bytes(r.kept)) for r in out], plain_bytes(data))
+    out = substring_dedup.dedup_substrings(docs, min_hot).select("doc_id", "n_words", "n_removed", "kept_text").collect()
+    matching([tuple(r) for r in out], plain_words(data))
