@@ -201,6 +201,49 @@ SELECT rid AS request_id, CAST(rank AS INTEGER) AS rank, id, id + 1 AS display_n
   round(sim, 6) AS similarity_score FROM best WHERE rank <= 10"""
 
 
+def mixed_requests() -> str:
+    """Three spaces (A, B, R) side by side; every company of every request is scored, then each request's rules apply."""
+    formula = "CASE WHEN space = 'A' THEN {} ELSE {} END".format(IDF["log2"], IDF["smooth"])
+    return f"""WITH {MAPS}, docs AS (SELECT doc_id AS id, doc_id AS k, lang, source, text FROM documents), {normalized("docs", "d_")},
+dtok AS (SELECT 'A' AS space, k AS id, w AS term FROM d_kept
+  UNION ALL SELECT s, k, unnest({words("normalized")}) FROM d_norm, (SELECT unnest(['B', 'R']) AS s)),
+tf AS (SELECT space, id, term, count(*) AS tf FROM dtok GROUP BY space, id, term),
+capped AS (SELECT term FROM tf WHERE space = 'R' GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 500),
+dfs AS (SELECT space, term, count(*) AS df FROM tf WHERE space <> 'R' OR term IN (SELECT term FROM capped) GROUP BY space, term),
+vocab AS (SELECT space, term, {formula} AS idf FROM dfs),
+raw AS (SELECT space, id, term, tf * idf AS w FROM tf JOIN vocab USING (space, term) WHERE idf > 1e-12),
+weights AS (SELECT space, id, term, w / sqrt(sum(w * w) OVER (PARTITION BY space, id)) AS w FROM raw),
+langs AS (SELECT list_sort(list(DISTINCT lang)) AS l FROM documents WHERE lang IS NOT NULL),
+asked AS (SELECT conv_id * 1000 + turn AS rid, CASE WHEN turn % 3 = 2 THEN 'recommend' ELSE 'similar' END AS job,
+  CASE WHEN conv_id % 2 = 0 THEN 'A' ELSE 'B' END AS model, CASE WHEN role = 'user' THEN text ELSE ' ' END AS text,
+  CASE WHEN role <> 'system' THEN conv_id END AS company, conv_id % 10 + 1 AS top_n, l[conv_id % len(l) + 1] AS cluster,
+  CASE conv_id % 7 WHEN 0 THEN 0.0 WHEN 1 THEN {P.STRICT_THRESHOLD} ELSE 0.1 END AS threshold FROM conversations, langs),
+routes AS (SELECT *, rid AS k, CASE WHEN trim(text) <> '' AND job = 'recommend' THEN 'recommend'
+  WHEN trim(text) <> '' THEN 'search' WHEN job = 'similar' AND company IS NOT NULL THEN 'find' ELSE 'rejected' END AS route FROM asked),
+req AS (SELECT *, CASE WHEN route = 'recommend' THEN 'R' ELSE model END AS space FROM routes),
+q_texts AS (SELECT k, text FROM req WHERE route IN ('search', 'recommend')), {normalized("q_texts", "q_")},
+qtok AS (SELECT k AS rid, w AS term FROM q_kept JOIN req USING (k) WHERE space = 'A'
+  UNION ALL SELECT k, unnest({words("normalized")}) FROM q_norm JOIN req USING (k) WHERE space <> 'A'),
+qraw AS (SELECT rid, space, term, count(*) * any_value(idf) AS w FROM qtok JOIN req USING (rid) JOIN vocab USING (space, term)
+  WHERE idf > 1e-12 GROUP BY rid, space, term),
+qw AS (SELECT rid, space, term, w / sqrt(sum(w * w) OVER (PARTITION BY rid)) AS w FROM qraw
+  UNION ALL SELECT rid, space, term, w FROM req JOIN weights USING (space) WHERE route = 'find' AND company = weights.id),
+dots AS (SELECT rid, id, sum(qw.w * d.w) AS sim FROM qw JOIN weights d USING (space, term) GROUP BY rid, id),
+met AS (SELECT r.rid, r.space, r.route, r.top_n, r.threshold, d.id, d.lang, d.source FROM req r JOIN docs d
+  ON route = 'search' OR (route = 'find' AND company IN (SELECT id FROM docs) AND d.id <> company) OR (route = 'recommend' AND lang = cluster)),
+scored AS (SELECT met.*, coalesce(sim, 0.0) AS sim FROM met LEFT JOIN dots USING (rid, id)),
+best AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY round(sim, 10) DESC, CASE WHEN space = 'B' THEN -id ELSE id END) AS rank
+  FROM scored WHERE route <> 'recommend' OR round(sim, 10) >= threshold),
+kept AS (SELECT *, count(*) OVER (PARTITION BY rid) AS n FROM best WHERE rank <= CASE WHEN route = 'recommend' THEN 10 ELSE top_n END)
+SELECT r.rid AS request_id, r.route, CASE WHEN r.route = 'rejected' THEN 'rejected' WHEN n IS NULL THEN 'unmatched' ELSE 'found' END AS status,
+  CAST(coalesce(n, 0) AS INTEGER) AS matches, CASE WHEN r.route = 'recommend' THEN cluster END AS predicted_cluster,
+  CAST(rank AS INTEGER) AS rank, id, round(sim, CASE WHEN r.space = 'A' THEN 4 ELSE 6 END) AS similarity,
+  CASE WHEN id IS NULL THEN NULL WHEN r.route = 'recommend' THEN printf('%.3f', sim)
+    WHEN r.space = 'A' THEN printf('%.4f', round(sim, 4)) ELSE printf('%.4f', sim) END AS similarity_text,
+  CASE WHEN r.route = 'recommend' THEN id + 1 END AS display_no, lang, source
+FROM req r LEFT JOIN kept ON r.rid = kept.rid"""
+
+
 TRAIN = "CAST('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 80"
 
 SPLIT = f"""train AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings WHERE {TRAIN}),
@@ -326,6 +369,7 @@ ORACLES: dict[str, str] = {
     "recommend_all": recommend(0.0),
     "unmatched_requests": f"{retrieve(P.STRICT_THRESHOLD)} "
     "SELECT rid AS request_id, cluster FROM req WHERE rid NOT IN (SELECT rid FROM best)",
+    "mixed_requests": mixed_requests(),
     "one_hot_long": one_hot_long(),
     "one_hot_wide": one_hot_wide(),
     "category_distribution": category_distribution(),
@@ -362,10 +406,18 @@ ORACLES: dict[str, str] = {
     "sentiment_by_group": sentiment(),
 }
 
-TESTED = f"WITH {SPLIT} SELECT id, label, true AS known_label FROM test"
+# A trained model's digits are its own; how good it must be is told by a rate that SQL knows.
+CLUSTERED = "e AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings), " + centroid("e", "centres") + f""",
+near AS (SELECT e.id, c.label, row_number() OVER (PARTITION BY e.id ORDER BY round(list_distance(v, c), 8), c.label) AS r
+  FROM e CROSS JOIN centres c),
+data AS (SELECT id, near.label, {TRAIN} AS train FROM near JOIN embeddings ON vec_id = id WHERE r = 1),
+common AS (SELECT label AS l FROM data WHERE train GROUP BY label ORDER BY count(*) DESC, label LIMIT 1),
+rates AS (SELECT round(avg(CAST(label = l AS DOUBLE)), 8) AS majority_rate FROM data, common WHERE NOT train)"""
 for name in ("lr", "dt", "rf", "svm"):
-    ORACLES[f"classify_{name}"] = TESTED
-ORACLES["best_model"] = "SELECT 5 AS models, true AS best_is_greatest, true AS in_range"
+    ORACLES[f"classify_{name}"] = f"""WITH {CLUSTERED} SELECT id, label, true AS known_label, majority_rate,
+  true AS beats_majority FROM data, rates WHERE NOT train"""
+ORACLES["best_model"] = f"""WITH {CLUSTERED} SELECT 5 AS models, true AS best_is_greatest, majority_rate,
+  true AS beats_majority FROM rates"""
 # Gaussian naive Bayes: log prior plus log densities; variances are smoothed by 1e-9 of the greatest one.
 ORACLES["classify_nb"] = f"""WITH {SPLIT},
 long AS (SELECT id, label, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM train),
@@ -411,6 +463,7 @@ for second, first in {
     "similar_pairs_prefixes": "similar_pairs",
     "similar_pairs_grid": "similar_pairs",
     "similar_pairs_text_grid": "similar_pairs_text",
+    "mixed_requests_broadcast": "mixed_requests",
     "recommend_retrieval_blocks": "recommend_retrieval",
     "recommend_all_blocks": "recommend_all",
 }.items():

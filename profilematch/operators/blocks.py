@@ -221,3 +221,36 @@ def distance_kernel(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         )
 
     return kernel
+
+
+def mixed_kernel(n: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Best n positive dot products per left row, each row under its own rules.
+
+    Left columns: ``self_id`` (a right id to leave out, or null), ``grp`` (only right rows of that group, or null for
+    all), ``threshold`` (least score) and ``larger_first`` (ties go to the larger id).
+    """
+
+    def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
+        right = right.sort_by("id")
+        scores = dot_products(left, right)
+        own = pc.fill_null(left["self_id"], np.iinfo(np.int64).min).to_numpy()
+        wanted = (scores > 0) & (own[:, None] != right["id"].to_numpy()[None, :])
+        asked, there = (t["grp"].combine_chunks().cast(pa.string()) for t in (left, right))
+        codes = pa.concat_arrays([asked, there]).dictionary_encode(null_encoding="encode")
+        codes = codes.indices.to_numpy(zero_copy_only=False)
+        free = asked.is_null().to_numpy(zero_copy_only=False)
+        wanted &= free[:, None] | (codes[: len(left), None] == codes[None, len(left) :])
+        units = np.rint(scores * SCORE_UNIT)
+        wanted &= units / SCORE_UNIT >= left["threshold"].to_numpy()[:, None]
+        place = np.arange(len(right))
+        larger = left["larger_first"].to_numpy(zero_copy_only=False).astype(bool)
+        place = np.where(larger[:, None], place[None, :], len(right) - 1 - place[None, :])
+        key = np.where(wanted, units.astype(np.int64) * (1 << 20) + place, -1 - place)
+        row, col = _take_best(key, n)
+        keep = wanted[row, col]
+        row, col = row[keep], col[keep]
+        return pa.table(
+            {"request_id": left["id"].take(row), "id": right["id"].take(col), "sim": pa.array(scores[row, col])}
+        )
+
+    return kernel

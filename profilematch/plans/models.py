@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -18,14 +20,14 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Normalizer, Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from profilematch.functions.scores import accuracy
 from profilematch.operators.blocks import distance_kernel, n_blocks, product_kernel, score_grid
 from profilematch.operators.features import SEED, fit_centred_pca
-from profilematch.session import fits, materialize
+from profilematch.session import fits, materialize, shared_folder
 
 TRAIN_PERCENT = 80
 KNN_K = 5
@@ -54,9 +56,20 @@ class Comparison:
     results: DataFrame  # model, accuracy
 
 
+def without_summary(model: Model, spark: SparkSession) -> Model:
+    """``model`` as it is read back from a folder.
+
+    A fitted model may keep the summary of its training, and with it the session. Its ``transform`` then fails to
+    serialize once the session holds what can't be sent to tasks, such as a user's own ``Observation``.
+    """
+    path = os.path.join(shared_folder(spark), "profilematch", f"model-{uuid.uuid4().hex}")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def classify(data: DataFrame, name: str, id_col: str = "id") -> DataFrame:
     """(id, label, prediction) on the test rows of (id, features, label)."""
-    fitted = classifiers()[name].fit(data.where(is_train(id_col)))
+    fitted = without_summary(classifiers()[name].fit(data.where(is_train(id_col))), data.sparkSession)
     return fitted.transform(data.where(~is_train(id_col))).select(id_col, "label", "prediction")
 
 
@@ -65,7 +78,7 @@ def compare(data: DataFrame, names: list[str] | None = None, id_col: str = "id")
     train = data.where(is_train(id_col)).select("features", "label").persist()
     test = data.where(~is_train(id_col)).select("features", "label")
     wanted = classifiers()
-    fitted = {name: wanted[name].fit(train) for name in names or list(wanted)}
+    fitted = {name: without_summary(wanted[name].fit(train), data.sparkSession) for name in names or list(wanted)}
     train.unpersist()
     results = None
     for name, model in fitted.items():
