@@ -437,6 +437,8 @@ FROM (SELECT var_pop(x) AS s, count(*) AS n FROM long GROUP BY j)"""
 ORACLES["kmeans_cluster"] = "SELECT count(*) AS points, true AS clusters_in_range, 0 AS nearer_elsewhere FROM embeddings"
 ORACLES["word2vec_similar"] = """SELECT doc_id AS request_id, 5 AS results, true AS dense, true AS falling,
   true AS in_range, true AS without_itself FROM labels"""
+ORACLES["recommender_saved"] = """SELECT count(*) AS companies, 2 AS models, true AS chosen_is_good, true AS has_rows,
+  0 AS differing_rows, 0 AS rows_outside_cluster FROM documents"""
 ORACLES["recommend_full"] = """SELECT 0 AS bad_ranks, 0 AS bad_requests, 0 AS bad_clusters, 0 AS bad_scores,
   true AS has_rows"""
 
@@ -459,6 +461,9 @@ for second, first in {
     "search_a_blocks": "search_a",
     "search_b_blocks": "search_b",
     "search_a_loaded": "search_a",
+    "search_a_by_term": "search_a",
+    "search_b_by_term": "search_b",
+    "search_padded_a_by_term": "search_padded_a",
     "written_results": "point_lookup",
     "similar_pairs_prefixes": "similar_pairs",
     "similar_pairs_grid": "similar_pairs",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cache
 
@@ -17,11 +18,12 @@ from profilematch.functions import text as T
 from profilematch.functions.scores import accuracy, percent_text
 from profilematch.operators import features, tfidf
 from profilematch.operators.lookup import Dictionaries, normalize_text
+from profilematch.operators.term_layout import lay_out
 from profilematch.operators.tfidf import Index, fit_index
-from profilematch.plans import find, mixed, models, recommend, reports
+from profilematch.plans import find, mixed, models, recommend, recommender, reports
 from profilematch.plans.requests import attach_companies, route_requests, unmatched_requests
 from profilematch.plans.search import search, tokenize
-from profilematch.session import materialize, spread
+from profilematch.session import materialize, shared_folder, spread
 from profilematch.sources.dictionaries import term_map, word_list
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,6 +189,18 @@ def _search_padded(model: str) -> Query:
     return run
 
 
+def _search_by_term(model: str, requests=benchmark_requests, normalised: bool = True) -> Query:
+    """The same searches through the layout by term."""
+
+    def run(spark, sf):
+        fitted = index(spark, sf, model)
+        known = dictionaries(spark) if normalised else None
+        found = search(fitted, requests(spark, sf), 5, model, known, layout=lay_out(fitted))
+        return found.withColumn("similarity", F.round("similarity", 6))
+
+    return run
+
+
 def _find_similar(model: str) -> Query:
     def run(spark, sf):
         asked = table(spark, sf, "labels").select(F.col("doc_id").alias("request_id"), F.col("doc_id").alias("company_id"))
@@ -318,8 +332,14 @@ def _recommendation(spark, sf):
     clustered = materialize(kmeans.transform(data), "clusters")
     classifier = LogisticRegression(labelCol="cluster").fit(clustered)
     pipeline = PipelineModel(stages=[*prepared.stages, classifier])
+    clusters = clustered.select("id", "cluster")
+    return recommend.recommend(fitted, pipeline, profile_requests(spark, sf), clusters), clusters
+
+
+def profile_requests(spark, sf):
+    """Every benchmark text with six preferences, one of them null."""
     langs = languages(spark, sf)
-    asked = benchmark_requests(spark, sf).select(
+    return benchmark_requests(spark, sf).select(
         "request_id",
         "query_text",
         F.element_at(langs, (F.col("request_id") % F.size(langs) + 1).cast("int")).alias("company_type"),
@@ -329,8 +349,33 @@ def _recommendation(spark, sf):
         F.lit("1").alias("working_days"),
         F.lit("0").alias("overtime_policy"),
     )
-    clusters = clustered.select("id", "cluster")
-    return recommend.recommend(fitted, pipeline, asked, clusters), clusters
+
+
+def recommender_saved(spark, sf):
+    """Fit, choose, save, load, recommend. A later version whose job was lost has parts but no manifest: it is passed over.
+
+    What must hold: the loaded recommender gives the rows of the fitted one, each in its predicted cluster.
+    """
+    fitted = recommender.fit_recommender(document_companies(spark, sf), SIX_FIELDS, names=["Decision Tree", "Logistic Regression"])
+    path = f"{shared_folder(spark)}/profilematch/recommender-{uuid.uuid4().hex}"
+    fitted.save(path)
+    fitted.clusters.write.parquet(f"{path}/99991231T000000000000-lost/clusters")
+    loaded = recommender.load_recommender(spark, path)
+    asked = profile_requests(spark, sf)
+    columns = ["request_id", "rank", "id", "predicted_cluster", "similarity_score"]
+    first = materialize(fitted.recommend(asked).select(*columns), "before").withColumn("similarity_score", F.round("similarity_score", 8))
+    second = materialize(loaded.recommend(asked).select(*columns), "after").withColumn("similarity_score", F.round("similarity_score", 8))
+    other = first.exceptAll(second).unionByName(second.exceptAll(first))
+    outside = second.join(loaded.clusters, "id").where(F.col("cluster") != F.col("predicted_cluster"))
+    count = lambda df: df.agg(F.count(F.lit(1))).scalar()
+    return loaded.index.ids.agg(F.count(F.lit(1)).alias("companies")).select(
+        "companies",
+        count(loaded.results).alias("models"),
+        F.lit(loaded.best_accuracy > 0.5).alias("chosen_is_good"),
+        (count(second) > 0).alias("has_rows"),
+        count(other).alias("differing_rows"),
+        count(outside).alias("rows_outside_cluster"),
+    )
 
 
 def mixed_requests_of(spark, sf):
@@ -670,6 +715,9 @@ QUERIES: dict[str, Query] = {
     "search_b_blocks": _search("B", max_broadcast_requests=0),
     "search_padded_a": _search_padded("A"),
     "search_padded_b": _search_padded("B"),
+    "search_a_by_term": _search_by_term("A"),
+    "search_b_by_term": _search_by_term("B"),
+    "search_padded_a_by_term": _search_by_term("A", longest_word_requests, False),
     "find_similar_a": _find_similar("A"),
     "find_similar_b": _find_similar("B"),
     "similar_profiles": similar_profiles,
@@ -683,6 +731,7 @@ QUERIES: dict[str, Query] = {
     "recommend_all": _recommend(0.0),
     "recommend_all_blocks": _recommend(0.0, max_broadcast_requests=0),
     "recommend_full": recommend_full,
+    "recommender_saved": recommender_saved,
     "unmatched_requests": unmatched,
     "mixed_requests": _mixed(),
     "mixed_requests_broadcast": _mixed(max_broadcast_requests=1_000_000),

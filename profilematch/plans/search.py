@@ -16,6 +16,7 @@ from profilematch.operators.similarity import (
     score_by_broadcast,
     smallest_ids,
 )
+from profilematch.operators.term_layout import TermLayout, score_by_terms
 from profilematch.operators.tfidf import Index, request_counts, request_weights
 from profilematch.plans.requests import DEFAULT_TOP_N, model_named, top_n_column
 from profilematch.session import fits
@@ -43,10 +44,12 @@ def search(
     model: str = "A",
     dictionaries: Dictionaries | None = None,
     max_broadcast_requests: int = MAX_BROADCAST_REQUESTS,
+    layout: TermLayout | None = None,
 ) -> DataFrame:
     """(request_id, rank, id, similarity) from requests (request_id, query_text[, top_n]).
 
-    Each request gets ``top_n`` rows (or the whole corpus, if smaller); rows beyond its matches score 0.
+    Each request gets ``top_n`` rows (or the whole corpus, if smaller); rows beyond its matches score 0. With the
+    index's ``layout`` by term, few requests read only the postings of their terms.
     """
     m = model_named(model)
     wanted, n = top_n_column(requests, top_n)
@@ -56,7 +59,9 @@ def search(
     counts = request_counts(asked)
     small = fits(asked.select("request_id"), max_broadcast_requests) and fits(counts, MAX_BROADCAST_REQUEST_TERMS)
     terms = request_weights(counts, index.vocab, small)
-    if small:
+    if small and layout is not None:
+        scored = score_by_terms(layout, terms, n)
+    elif small:
         scored = score_by_broadcast(terms, index.weights)
     else:
         sizes = (asked.count(), counts.count(), *corpus_sizes(index))
