@@ -461,6 +461,9 @@ for second, first in {
     "search_a_blocks": "search_a",
     "search_b_blocks": "search_b",
     "search_a_loaded": "search_a",
+    "find_similar_a_bounded": "find_similar_a",
+    "find_similar_b_bounded": "find_similar_b",
+    "find_similar_a_broadcast": "find_similar_a",
     "search_a_by_term": "search_a",
     "search_b_by_term": "search_b",
     "search_padded_a_by_term": "search_padded_a",

@@ -201,10 +201,10 @@ def _search_by_term(model: str, requests=benchmark_requests, normalised: bool =
     return run
 
 
-def _find_similar(model: str) -> Query:
+def _find_similar(model: str, **options) -> Query:
     def run(spark, sf):
         asked = table(spark, sf, "labels").select(F.col("doc_id").alias("request_id"), F.col("doc_id").alias("company_id"))
-        found = find.find_similar(index(spark, sf, model).stored(), asked, 5, model)
+        found = find.find_similar(index(spark, sf, model).stored(), asked, 5, model, **options)
         return found.withColumn("similarity", F.round("similarity", 6))
 
     return run
@@ -720,6 +720,9 @@ QUERIES: dict[str, Query] = {
     "search_padded_a_by_term": _search_by_term("A", longest_word_requests, False),
     "find_similar_a": _find_similar("A"),
     "find_similar_b": _find_similar("B"),
+    "find_similar_a_bounded": _find_similar("A", bounded_from=0),
+    "find_similar_b_bounded": _find_similar("B", bounded_from=0),
+    "find_similar_a_broadcast": _find_similar("A", max_broadcast_requests=1_000_000),
     "similar_profiles": similar_profiles,
     "similar_pairs": _similar_pairs(),
     "similar_pairs_prefixes": _similar_pairs(True),

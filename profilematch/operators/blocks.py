@@ -68,6 +68,99 @@ def score_grid(
     )
 
 
+def score_cells(
+    left: DataFrame,
+    right: DataFrame,
+    cells: DataFrame,
+    kernel: Callable[[pa.Table, pa.Table], pa.Table],
+    schema: str,
+    few_blocks: bool,
+) -> DataFrame:
+    """Apply ``kernel`` to the pairs of blocks in ``cells`` (lb, rb) only. Both sides have ``id`` and ``block``.
+
+    A row is copied once for each cell of its block, so what moves follows the number of cells. ``few_blocks`` says
+    that a row for each block fits a broadcast.
+    """
+    hint = F.broadcast if few_blocks else (lambda df: df)
+
+    def copied(df: DataFrame, mine: str, other: str) -> DataFrame:
+        partners = cells.groupBy(F.col(mine).alias("block")).agg(F.collect_set(other).alias("_partners"))
+        return df.join(hint(partners), "block").withColumn("_partner", F.explode("_partners")).drop("_partners")
+
+    a = copied(left, "lb", "rb").withColumnsRenamed({"block": "_lb", "_partner": "_rb"})
+    # Both sides may come from one table, so the right one gets columns of its own.
+    renamed = {c: f"right_{c}" for c in right.columns if c != "block"}
+    b = copied(right, "rb", "lb").withColumnsRenamed({"block": "_right_rb", "_partner": "_right_lb", **renamed})
+    nothing = to_arrow_schema(_parse_datatype_string(schema)).empty_table()
+
+    def cell(left_rows: pa.Table, right_rows: pa.Table) -> pa.Table:
+        if not len(left_rows) or not len(right_rows):
+            return nothing
+        return kernel(left_rows, right_rows.select(list(renamed.values())).rename_columns(list(renamed)))
+
+    return a.groupBy("_lb", "_rb").cogroup(b.groupBy("_right_lb", "_right_rb")).applyInArrow(cell, schema)
+
+
+def group_blocks(df: DataFrame) -> DataFrame:
+    """(grp, blocks): how many blocks each group of ``df`` (grp, terms) needs for its own size."""
+    sizes = df.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("terms")).alias("m"))
+    needed = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("m") / BLOCK_ENTRIES), F.lit(1))
+    return sizes.where("grp is not null").select("grp", needed.cast("int").alias("blocks"))
+
+
+def block_name(grp: str, blocks: str, salt: str = "id"):
+    """The block of a row: its group and a hash of its id."""
+    return F.concat_ws("#", F.col(grp).cast("string"), F.pmod(F.xxhash64(salt), F.col(blocks)).cast("string"))
+
+
+def group_cells(left_blocks: DataFrame, right_blocks: DataFrame) -> DataFrame:
+    """(lb, rb): every block of a group with every block of the same group."""
+    sides = [
+        df.select("grp", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.concat_ws("#", F.col("grp").cast("string"), i.cast("string")))).alias(c))
+        for df, c in ((left_blocks, "lb"), (right_blocks, "rb"))
+    ]
+    return sides[0].join(sides[1], "grp").select("lb", "rb")
+
+
+def bound_kernel(left: pa.Table, right: pa.Table) -> pa.Table:
+    """(id, rb): the summaries on the right that could give a left row a score of its ``line``, or any if that is 0."""
+    bounds = dot_products(left, right)
+    row, col = np.nonzero((bounds > 0) & (bounds >= left["line"].to_numpy()[:, None] - 1e-9))
+    return pa.table({"id": left["id"].take(row), "rb": right["id"].take(col).cast(pa.string())})
+
+
+def score_pairs(
+    left: DataFrame,
+    right: DataFrame,
+    pairs: DataFrame,
+    kernel: Callable[[pa.Table, pa.Table], pa.Table],
+    schema: str,
+    few_blocks: bool,
+) -> DataFrame:
+    """Apply ``kernel`` where ``pairs`` (id, rb) wants a left row to meet a right block. Right rows have ``block``.
+
+    All left rows that want a block meet it together, BLOCK_ROWS at a time: a left row is copied once for each block it
+    wants, a block once for each BLOCK_ROWS rows that want it.
+    """
+    hint = F.broadcast if few_blocks else (lambda df: df)
+    parts = pairs.groupBy(F.col("rb").alias("block")).agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("_parts"))
+    wanted = pairs.groupBy("id").agg(F.collect_list("rb").alias("_wanted"))
+    a = left.drop("block").join(wanted, "id").withColumn("block", F.explode("_wanted")).drop("_wanted").join(hint(parts), "block")
+    a = a.withColumn("_part", F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int")).drop("_parts")
+    b = right.join(hint(parts), "block").withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    # Both sides may come from one table, so the right one gets columns of its own.
+    renamed = {c: f"right_{c}" for c in right.columns if c != "block"}
+    b = b.withColumnsRenamed({"block": "_right_block", "_part": "_right_part", **renamed})
+    nothing = to_arrow_schema(_parse_datatype_string(schema)).empty_table()
+
+    def cell(left_rows: pa.Table, right_rows: pa.Table) -> pa.Table:
+        if not len(left_rows) or not len(right_rows):
+            return nothing
+        return kernel(left_rows, right_rows.select(list(renamed.values())).rename_columns(list(renamed)))
+
+    return a.groupBy("block", "_part").cogroup(b.groupBy("_right_block", "_right_part")).applyInArrow(cell, schema)
+
+
 def vectors(weights: DataFrame) -> DataFrame:
     """(id, terms, ws): one row per document from (id, term, w)."""
     pairs = weights.groupBy("id").agg(F.collect_list(F.struct("term", "w")).alias("p"))
@@ -94,7 +187,8 @@ def dot_products(left: pa.Table, right: pa.Table) -> np.ndarray:
     shape = (len(left), len(right))
     if not len(l_row) or not len(r_row):
         return np.zeros(shape)
-    coded = pa.concat_arrays([l_term.cast(pa.string()), r_term.cast(pa.string())]).dictionary_encode()
+    kind = l_term.type if pa.types.is_integer(l_term.type) else pa.string()
+    coded = pa.concat_arrays([l_term.cast(kind), r_term.cast(kind)]).dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False)
     l_code, r_code = codes[: len(l_row)], codes[len(l_row) :]
     n_terms = len(coded.dictionary)

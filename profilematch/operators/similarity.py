@@ -12,7 +12,21 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from profilematch.functions.scores import rank_score
-from profilematch.operators.blocks import cosine_kernel, n_blocks, score_grid, vectors
+from profilematch.operators.blocks import (
+    BLOCK_ENTRIES,
+    block_name,
+    bound_kernel,
+    cosine_kernel,
+    group_blocks,
+    group_cells,
+    n_blocks,
+    score_cells,
+    score_grid,
+    score_pairs,
+    vectors,
+)
+from profilematch.operators.skew import MAX_BROADCAST_ROWS, expand_join
+from profilematch.session import fits, materialize
 
 # The broadcast path writes one row per document, request and shared term before summing.
 MAX_BROADCAST_REQUESTS = 256
@@ -86,6 +100,88 @@ def best_by_blocks(
     )
 
 
+def best_in_groups(
+    request_terms: DataFrame, weights: DataFrame, per_request: DataFrame, groups: DataFrame, n: int
+) -> DataFrame:
+    """(request_id, id, sim), the best n of each cell, ties to the smaller id. Only blocks of equal groups meet.
+
+    ``per_request``: (request_id, grp, threshold); ``groups``: (id, grp). Each group has blocks by its own size on both
+    sides, so a group of most rows is cut into many, and no two groups share a cell.
+    """
+    types = dict(weights.dtypes)["id"], dict(request_terms.dtypes)["request_id"]
+    left = vectors(request_terms.withColumnRenamed("request_id", "id")).join(
+        per_request.withColumnRenamed("request_id", "id"), "id"
+    )
+    left, right = materialize(left, "group-requests"), vectors(weights).join(groups, "id")
+    left_blocks, right_blocks = materialize(group_blocks(left), "left-blocks"), materialize(group_blocks(right), "right-blocks")
+    few = fits(right_blocks, MAX_BROADCAST_ROWS) and fits(left_blocks, MAX_BROADCAST_ROWS)
+    sides = [
+        expand_join(side, blocks, "grp", "id", few).withColumn("block", block_name("grp", "blocks")).drop("blocks")
+        for side, blocks in ((left, left_blocks), (right, right_blocks))
+    ]
+    cells = materialize(group_cells(left_blocks, right_blocks), "group-cells")
+    kernel = cosine_kernel(n, "asc", grouped=True)
+    schema = f"request_id {types[1]}, id {types[0]}, sim double"
+    return score_cells(*sides, cells, kernel, schema, fits(cells, MAX_BROADCAST_ROWS))
+
+
+#: Kinds of documents at most, and documents of a kind at least, on average.
+MAX_KINDS, KIND_ROWS = 64, 100
+
+
+def _kinds(weights: DataFrame, vocab: DataFrame, kinds: int) -> DataFrame:
+    """(id, grp): the most frequent of the corpus's ``kinds`` most frequent terms that a document holds, or ""."""
+    top = F.broadcast(vocab.orderBy(F.desc("df"), "term").limit(kinds).select("term", "df"))
+    best = F.max(F.when(F.col("df").isNotNull(), F.struct("df", "term"))).alias("best")
+    return weights.join(top, "term", "left").groupBy("id").agg(best).select("id", F.coalesce("best.term", F.lit("")).alias("grp"))
+
+
+def needed_blocks(rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """(id, rb): the blocks in which an asked row could still find one of its best.
+
+    ``rows``: (id, terms, ws, block) all documents; ``asked``: the same with ``line``, the n-th best score so far. The
+    greatest weight of each term in a block makes a summary; its product with a row bounds the row's scores there.
+    """
+    entries = rows.select("block", F.explode(F.arrays_zip("terms", "ws")).alias("e")).groupBy("block", F.col("e.terms").alias("term"))
+    summaries = vectors(entries.agg(F.max("e.ws").alias("w")).withColumnRenamed("block", "id"))
+    summaries = materialize(summaries, "block-summaries")
+    n, size = summaries.agg(F.count(F.lit(1)), F.sum(F.size("terms"))).first()
+    asked = asked.select("id", "terms", "ws", "line")
+    left, entries = asked.agg(F.count(F.lit(1)), F.sum(F.size("terms"))).first()
+    id_type = dict(asked.dtypes)["id"]
+    schema = f"id {id_type}, rb string"
+    return score_grid(asked, summaries, n_blocks(left, entries or 0), n_blocks(n, size or 0), bound_kernel, schema)
+
+
+def best_by_bounds(asked_ids: DataFrame, weights: DataFrame, vocab: DataFrame, n: int, ties: str) -> DataFrame:
+    """(request_id, id, sim) for asked documents (id) against all others: a superset of the best n, exact.
+
+    Documents lie in blocks of their kind. First each asked row meets its own block; the n-th best score found there is
+    its line. Then it meets only those blocks that could bring it a score of its line.
+    """
+    # terms as hashes of 64 bits: kernels only compare them
+    rows = materialize(vectors(weights.withColumn("term", F.xxhash64("term"))), "vectors")
+    kinds = max(1, min(MAX_KINDS, rows.count() // KIND_ROWS))
+    rows = materialize(rows.join(_kinds(weights, vocab, kinds), "id"), "kind-rows")
+    blocks = materialize(group_blocks(rows), "kind-blocks")
+    few = fits(blocks, MAX_BROADCAST_ROWS) and (blocks.agg(F.sum("blocks")).first()[0] or 0) <= MAX_BROADCAST_ROWS
+    rows = expand_join(rows, blocks, "grp", "id", few).withColumn("block", block_name("grp", "blocks")).select("id", "terms", "ws", "block")
+    rows = materialize(rows, "block-rows")
+    asked = rows.join(asked_ids.select("id"), "id", "left_semi").withColumn("self_id", F.col("id"))
+    asked = materialize(asked, "asked-rows")
+    id_type = dict(weights.dtypes)["id"]
+    kernel, schema = cosine_kernel(n, ties, exclude_self=True), f"request_id {id_type}, id {id_type}, sim double"
+    own = asked.select("id", F.col("block").alias("rb"))
+    first = materialize(score_pairs(asked, rows, own, kernel, schema, few), "own-block-scores")
+    order = W.partitionBy("request_id").orderBy(F.desc("sim"))
+    line = first.withColumn("k", F.row_number().over(order)).where(F.col("k") == n)
+    line = line.select(F.col("request_id").alias("id"), F.col("sim").alias("line"))
+    lined = asked.join(line, "id", "left").withColumn("line", F.coalesce("line", F.lit(0.0)))
+    needed = materialize(needed_blocks(rows, lined).join(own, ["id", "rb"], "left_anti"), "needed-blocks")
+    rest = score_pairs(asked, rows, needed, kernel, schema, few)
+    return first.unionByName(rest)
+
+
 def smallest_ids(ids: DataFrame, n: int, ties: str) -> Column:
     """The first n ids in tie order, as one array value."""
     first = ids.orderBy(tie_order(ties)).limit(n)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 32
@@ -10,12 +10,12 @@ MAX_BROADCAST_ROWS = 100_000
 
 
 def expand_join(
-    many: DataFrame, one: DataFrame, on: str, salt_by: str, small: bool, how: str = "inner"
+    many: DataFrame, one: DataFrame, on: str, salt_by: str | Column, small: bool, how: str = "inner"
 ) -> DataFrame:
     """Join many rows per key to one row per key: broadcast when ``one`` is small, salted otherwise.
 
     ``small`` comes from a count of the keys that the caller has at hand: counting ``one`` itself would run
-    the whole job before it. ``salt_by`` is a column of ``many`` that spreads the rows of one key.
+    the whole job before it. ``salt_by`` is a column of ``many``, or several as a struct, that spreads the rows of one key.
     """
     if small:
         return many.join(F.broadcast(one), on, how)

@@ -28,7 +28,7 @@ SLOT_ENTRIES, MIN_SLOTS, MAX_SLOTS = 1_000_000, 16, 4_096
 #: Terms up to this number are named in the scan itself.
 MAX_NAMED_TERMS = 1_000
 #: Share of a request's possible score that its essential terms make up.
-ESSENTIAL = 0.6
+ESSENTIAL = 0.85
 
 
 @dataclass(frozen=True)

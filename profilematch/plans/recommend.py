@@ -13,14 +13,14 @@ from profilematch.operators.lookup import Dictionaries
 from profilematch.operators.similarity import (
     MAX_BROADCAST_REQUEST_TERMS,
     MAX_BROADCAST_REQUESTS,
-    best_by_blocks,
+    best_in_groups,
     fill_short_lists,
     rank_best,
 )
 from profilematch.operators.skew import MAX_BROADCAST_ROWS, expand_join
 from profilematch.operators.tfidf import Index, request_counts, request_weights
 from profilematch.plans.requests import RECOMMEND_LIMIT, threshold_column
-from profilematch.plans.search import corpus_sizes, tokenize
+from profilematch.plans.search import tokenize
 from profilematch.session import fits
 
 
@@ -57,10 +57,9 @@ def retrieve(
             .select("request_id", "id", "sim")
         )
     else:
-        sizes = (asked.count(), counts.count(), *corpus_sizes(index))
         extra = per_request.select("request_id", F.col("cluster").alias("grp"), "threshold")
         groups = clusters.select("id", F.col("cluster").alias("grp"))
-        scored = best_by_blocks(terms, index.weights, sizes, limit, "asc", extra=extra, groups=groups)
+        scored = best_in_groups(terms, index.weights, extra, groups, limit)
     ranked = rank_best(scored, limit)
     # Only a threshold of 0 lets companies without a common term in.
     first = W.partitionBy("cluster").orderBy("id")

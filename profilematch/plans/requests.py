@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profilematch.functions.text import is_blank
+from profilematch.operators.skew import MAX_BROADCAST_ROWS, expand_join
+from profilematch.session import fits, materialize
 
 # Fixed values.
 MIN_TOP_N, MAX_TOP_N, DEFAULT_TOP_N = 1, 10, 5
@@ -67,7 +69,15 @@ def unmatched_requests(requests: DataFrame, results: DataFrame) -> DataFrame:
     return requests.join(results.select("request_id").distinct(), "request_id", "left_anti")
 
 
-def attach_companies(ranked: DataFrame, companies: DataFrame, *columns: str, id_col: str = "id") -> DataFrame:
-    """Company columns for ranked ids. Only these columns of the company table are read."""
-    wanted = companies.select(F.col(id_col).alias("id"), *columns)
-    return ranked.join(wanted, "id")
+def attach_companies(
+    ranked: DataFrame, companies: DataFrame, *columns: str, id_col: str = "id", how: str = "inner"
+) -> DataFrame:
+    """Company columns for ranked ids. Only these columns of the company table are read, and only asked companies move.
+
+    One company may be in a third of all rows, so the rows are not shuffled by its id alone.
+    """
+    ranked = materialize(ranked, "ranked")
+    asked = ranked.where(F.col("id").isNotNull()).select("id").distinct()
+    wanted = companies.select(F.col(id_col).alias("id"), *columns).join(asked, "id", "left_semi")
+    wanted = materialize(wanted, "asked-companies")
+    return expand_join(ranked, wanted, "id", F.struct(*ranked.columns), fits(wanted, MAX_BROADCAST_ROWS), how)

@@ -84,3 +84,57 @@ def test_vectors_of_unknown_words_are_like_nothing(spark):
     vectors = spark.createDataFrame([(1, [0.0, 0.0]), (2, [0.0, 0.0]), (3, [1.0, 0.0]), (4, [0.6, 0.8])], "id long, vector array<double>")
     found = {(r.request_id, r.id): r.similarity for r in models.word2vec_similar(vectors, vectors.select("id"), 3).collect()}
     assert found[(1, 2)] == 0 and found[(1, 3)] == 0 and found[(3, 4)] == 0.6 and (1, 1) not in found
+
+
+@pytest.mark.parametrize("model", ["A", "B"])
+def test_similar_by_bounds(spark, index, model, monkeypatch):
+    """Blocks of few documents, most of which a row never meets; copies tie with each other."""
+    from profilematch.operators import similarity
+
+    monkeypatch.setattr(similarity, "KIND_ROWS", 5)
+    asked = index.ids.where("id % 3 <> 1").select(F.col("id").alias("request_id"), F.col("id").alias("company_id"))
+    asked = asked.union(spark.createDataFrame([(900, 5000), (901, None), (902, 7), (903, 7)], asked.schema))
+    ways = [
+        find_similar(index, asked, 4, model, max_broadcast_requests=n, bounded_from=b) for n, b in ((1000, 0), (0, 10**9), (0, 0))
+    ]
+    plain, blocks, bounded = ([(*r[:3], round(r[3], 8)) for r in rows_of(x)] for x in ways)
+    assert plain == blocks == bounded and len(plain) == 4 * 82
+
+
+def test_rows_meet_only_blocks_they_need(spark, index):
+    """Documents of two languages: the bound keeps each row in the blocks of its own."""
+    from profilematch.operators.similarity import needed_blocks
+
+    rows = [(i, [f"{'ab'[i % 2]}{(i + k) % 9}" for k in range(4)], [0.5] * 4, "ab"[i % 2]) for i in range(40)]
+    docs = spark.createDataFrame(rows, "id long, terms array<string>, ws array<double>, block string")
+    needed = needed_blocks(docs, docs.withColumn("line", F.lit(0.0))).collect()
+    assert sorted((r.id, r.rb) for r in needed) == [(i, "ab"[i % 2]) for i in range(40)]
+    assert needed_blocks(docs, docs.withColumn("line", F.lit(1.01))).count() == 0
+
+
+def test_blocks_of_clusters(spark, index, monkeypatch):
+    """A cluster of nine tenths is cut into blocks of its own; clusters never share a cell."""
+    from profilematch.operators import blocks
+
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", 10)
+    clusters = index.ids.withColumn("cluster", F.when(F.col("id") % 10 == 0, "small").otherwise("large"))
+    asked = [(i, f"w{i % 40:02d} w{i * 7 % 40:02d} w05", "small" if i % 4 == 0 else "large") for i in range(60)]
+    asked += [(90, "w01", "none"), (91, "w01", None), (92, "", "small")]
+    asked = spark.createDataFrame(asked, "request_id long, t string, cluster string").withColumn("tokens", tokens_ws("t"))
+    for threshold in (0.05, 0.0):
+        at = asked.withColumn("threshold", F.lit(threshold))
+        few, many = (rows_of(retrieve(index, at, clusters, max_broadcast_requests=n)) for n in (256, 0))
+        key = lambda found: [(*r[:5], round(r[5], 9)) for r in found]
+        assert key(few) == key(many) and few
+    sides = [spark.createDataFrame([("small", 2), ("large", k)], "grp string, blocks int") for k in (5, 11)]
+    assert blocks.group_cells(*sides).count() == 2 * 2 + 5 * 11
+
+
+def test_a_company_that_many_rows_name(spark):
+    from profilematch.plans.requests import attach_companies
+
+    ranked = spark.createDataFrame([(i, 1 if i % 3 else i) for i in range(300)] + [(300, None), (301, 999)], "request_id long, id long")
+    companies = spark.createDataFrame([(i, f"c{i}") for i in range(300)], "key long, name string")
+    got = attach_companies(ranked, companies, "name", id_col="key").collect()
+    assert len(got) == 300 and all(r.name == f"c{r.id}" for r in got)
+    assert attach_companies(ranked, companies, "name", id_col="key", how="left").count() == 302
