@@ -22,6 +22,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer if ``df`` has a column called so (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 @contextmanager
 def shuffle_cleanup(spark: SparkSession):
     """Shuffle files of the actions inside go when each action ends, not when the driver collects garbage."""

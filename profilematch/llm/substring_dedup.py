@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from profilematch.llm import hashing as H
-from profilematch.llm.common import row_key, slices, stored, text_bytes
+from profilematch.llm.common import free_name, row_key, slices, stored, text_bytes
 from profilematch.llm.segments import Kind, Strings, covered, hot_routes, marks_of, segments_of, spans_of
 
 WIDTH = 50
@@ -66,15 +66,14 @@ def _bucket(s: Strings):
 
 
 _OUT = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]
-_SPANS = "__spans"
 
 
-def _remove(columns: list[str]):
+def _remove(columns: list[str], spans_name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 words, gone, kept = [], [], []
-                for text, spans in zip(part.column("text").to_pylist(), part.column(_SPANS).to_pylist()):
+                for text, spans in zip(part.column("text").to_pylist(), part.column(spans_name).to_pylist()):
                     own = (text or "").encode().split()
                     words.append(len(own))
                     if spans:
@@ -99,9 +98,8 @@ def dedup_substrings(docs: DataFrame, min_hot: int | None = None) -> DataFrame:
     keyed = keyed.select(F.col("doc_id").cast("long").alias("who"), row_key().alias("row"), "text")
     hot = hot_routes(keyed, KIND, **({} if min_hot is None else {"least": min_hot}))
     marks = stored(marks_of(segments_of(keyed, KIND, hot), KIND, _bucket), "windows")
-    spans = spans_of(keyed, KIND, hot, marks).select(
-        F.col("who").alias("__who"), F.col("row").alias("__row"), F.col("spans").alias(_SPANS)
-    )
-    same = (F.col("doc_id") == F.col("__who")) & (row_key() == F.col("__row"))
-    joined = docs.join(spans, same, "left").drop("__who", "__row")
-    return joined.mapInArrow(_remove(docs.columns), T.StructType([*docs.schema.fields, *_OUT]))
+    who, key, own = (free_name(docs, name) for name in ("__who", "__row", "__spans"))
+    spans = spans_of(keyed, KIND, hot, marks).select(F.col("who").alias(who), F.col("row").alias(key), F.col("spans").alias(own))
+    same = (F.col("doc_id") == F.col(who)) & (row_key() == F.col(key))
+    joined = docs.join(spans, same, "left").drop(who, key)
+    return joined.mapInArrow(_remove(docs.columns, own), T.StructType([*docs.schema.fields, *_OUT]))

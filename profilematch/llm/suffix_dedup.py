@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from profilematch.llm import hashing as H
-from profilematch.llm.common import slices, stored, text_bytes
+from profilematch.llm.common import free_name, slices, stored, text_bytes
 from profilematch.llm.segments import Kind, Strings, covered, hot_routes, marks_of, segments_of, spans_of
 
 WIDTH = 400
@@ -172,15 +172,14 @@ _OUT = [
     T.StructField("n_spans", T.LongType()),
     T.StructField("kept", T.BinaryType()),
 ]
-_SPANS = "__spans"
 
 
-def _remove(columns: list[str]):
+def _remove(columns: list[str], spans_name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 size, gone, runs, kept = [], [], [], []
-                for text, spans in zip(part.column("text").to_pylist(), part.column(_SPANS).to_pylist()):
+                for text, spans in zip(part.column("text").to_pylist(), part.column(spans_name).to_pylist()):
                     raw = (text or "").encode()
                     size.append(len(raw))
                     if spans:
@@ -211,6 +210,7 @@ def dedup_bytes(docs: DataFrame, min_hot: int | None = None) -> DataFrame:
     keyed = docs.where(F.col("text").isNotNull()).select(F.lit(0).cast("long").alias("who"), _row(docs).alias("row"), "text")
     hot = hot_routes(keyed, KIND, **({} if min_hot is None else {"least": min_hot}))
     marks = stored(marks_of(segments_of(keyed, KIND, hot), KIND, _bucket), "windows")
-    spans = spans_of(keyed, KIND, hot, marks).select(F.col("row").alias("__row"), F.col("spans").alias(_SPANS))
-    joined = docs.join(spans, _row(docs) == F.col("__row"), "left").drop("__row")
-    return joined.mapInArrow(_remove(docs.columns), T.StructType([*docs.schema.fields, *_OUT]))
+    key, own = free_name(docs, "__row"), free_name(docs, "__spans")
+    spans = spans_of(keyed, KIND, hot, marks).select(F.col("row").alias(key), F.col("spans").alias(own))
+    joined = docs.join(spans, _row(docs) == F.col(key), "left").drop(key)
+    return joined.mapInArrow(_remove(docs.columns, own), T.StructType([*docs.schema.fields, *_OUT]))

@@ -122,3 +122,13 @@ def test_one_passage_in_many_surroundings(spark, min_hot):
     matching([(*r[:4], bytes(r.kept)) for r in out], plain_bytes(data))
     out = substring_dedup.dedup_substrings(docs, min_hot).select("doc_id", "n_words", "n_removed", "kept_text").collect()
     matching([tuple(r) for r in out], plain_words(data))
+
+
+def test_columns_named_like_the_operators_own(spark):
+    docs = table(spark)
+    for name in ("__row", "__spans", "__who", "__ROW_", "who", "row", "fp"):
+        docs = docs.withColumn(name, F.lit(7))
+    for out in (suffix_dedup.dedup_bytes(docs), substring_dedup.dedup_substrings(docs)):
+        rows_out = out.collect()
+        assert len(rows_out) == len(rows()) and out.columns[: len(docs.columns)] == docs.columns
+        assert all(r[name] == 7 for r in rows_out for name in ("__row", "__spans", "__who", "__ROW_", "who", "row", "fp"))
