@@ -59,8 +59,10 @@ WITH texts AS (
     CASE WHEN n_words > 0 THEN 100 * word_chars // n_words ELSE 0 END AS length
   FROM counts
 ), long AS (
-  UNPIVOT (SELECT r, lang, source, base_failed, symbols, dup_lines, repeats, upper, length FROM metrics)
-  ON symbols, dup_lines, repeats, upper, length INTO NAME metric VALUE v
+  UNPIVOT (SELECT r, lang, source, base_failed, symbols, dup_lines, repeats, upper, length, n_symbols, n_dup_lines,
+    n_repeat_words, n_upper, word_chars FROM metrics)
+  ON (symbols, n_symbols) AS 'symbols', (dup_lines, n_dup_lines) AS 'dup_lines', (repeats, n_repeat_words) AS 'repeats',
+    (upper, n_upper) AS 'upper', (length, word_chars) AS 'length' INTO NAME metric VALUE v, units
 ), low AS (
   SELECT *, CASE WHEN v < 64 THEN v ELSE (v >> (length(bin(v)) - 6)) << (length(bin(v)) - 6) END AS low FROM long
 ), levels AS (
@@ -71,24 +73,22 @@ WITH texts AS (
   SELECT level, lang, source, metric, low, sum(n) OVER (PARTITION BY level, lang, source, metric ORDER BY low) AS upto,
     sum(n) OVER (PARTITION BY level, lang, source, metric) AS total
   FROM (SELECT level, lang, source, metric, low, count(*) AS n FROM levels GROUP BY ALL)
-), quartiles AS (
-  SELECT level, lang, source, metric, max(total) AS total, min(low) FILTER (4 * upto >= total) AS q25,
-    min(low) FILTER (4 * upto >= 3 * total) AS q75
+), quantiles AS (
+  SELECT level, lang, source, metric, max(total) AS total, min(low) FILTER (10 * upto >= total) AS q10,
+    min(low) FILTER (10 * upto >= 5 * total) AS q50, min(low) FILTER (10 * upto >= 9 * total) AS q90
   FROM run GROUP BY ALL
 ), fences AS (
   SELECT o.lang, o.source, o.metric,
-    CASE WHEN o.total >= 200 THEN o.q25 WHEN l.total >= 200 THEN l.q25 ELSE g.q25 END AS q25,
-    CASE WHEN o.total >= 200 THEN o.q75 WHEN l.total >= 200 THEN l.q75 ELSE g.q75 END AS q75
-  FROM quartiles o JOIN quartiles l ON l.level = 2 AND o.lang IS NOT DISTINCT FROM l.lang AND o.metric = l.metric
-    JOIN quartiles g ON g.level = 3 AND o.metric = g.metric
+    CASE WHEN o.total >= 200 THEN o.q10 WHEN l.total >= 200 THEN l.q10 ELSE g.q10 END AS q10,
+    CASE WHEN o.total >= 200 THEN o.q50 WHEN l.total >= 200 THEN l.q50 ELSE g.q50 END AS q50,
+    CASE WHEN o.total >= 200 THEN o.q90 WHEN l.total >= 200 THEN l.q90 ELSE g.q90 END AS q90
+  FROM quantiles o JOIN quantiles l ON l.level = 2 AND o.lang IS NOT DISTINCT FROM l.lang AND o.metric = l.metric
+    JOIN quantiles g ON g.level = 3 AND o.metric = g.metric
   WHERE o.level = 1
-), reach AS (
-  SELECT *, greatest(4 * (q75 - q25), CASE metric WHEN 'symbols' THEN 150 WHEN 'dup_lines' THEN 600
-    WHEN 'repeats' THEN 350 ELSE 200 END) AS d FROM fences
 ), outside AS (
-  SELECT DISTINCT r FROM low JOIN reach f ON low.lang IS NOT DISTINCT FROM f.lang
+  SELECT DISTINCT r FROM low JOIN fences f ON low.lang IS NOT DISTINCT FROM f.lang
     AND low.source IS NOT DISTINCT FROM f.source AND low.metric = f.metric
-  WHERE v > q75 + d OR (low.metric = 'length' AND v < q25 - d)
+  WHERE (v > q90 + 6 * (q90 - q50) AND units > 3) OR (low.metric = 'length' AND v < q10 - 6 * (q50 - q10))
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND o.r IS NULL AS kept

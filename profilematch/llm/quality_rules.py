@@ -3,12 +3,14 @@
 A sketch of a metric is a histogram whose buckets are exact below 64 and 1/32 wide (relative) above. Sketches merge
 by adding counts, so a third of all rows under one source is counted inside the tasks first, and the sketches of
 sources add up to those of languages and of the corpus. A group with few documents uses its language's sketch, then
-the corpus's. A document is rejected where a metric is beyond q75 + SPREAD * (q75 - q25) of its group; the
-interquartile range counts as at least ``least`` / SPREAD, else a group whose quartiles agree would reject any
-document that differs. All numbers are integers, so results don't depend on the order of merging.
+the corpus's. A document is rejected where a metric is above q90 + SPREAD * (q90 - q50) of its group, or, for the
+length of words, below q10 - SPREAD * (q50 - q10). So the tail of nine tenths of a group decides what is usual there;
+what a tenth of a group or more does is usual. UNITS of what a metric counts are no evidence: a text with that many or
+fewer is not rejected by it. All numbers are integers, so results don't depend on the order of merging.
 
 Null texts are empty. A document without words has all metrics 0 and fails the base rule. Null languages and sources
-are groups of their own. Repeated rows are judged alike, each once. Extra columns are kept by ``quality_filter``.
+are groups of their own. Repeated rows are judged alike, each once. Extra columns are kept by ``quality_filter``,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -22,19 +24,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from profilematch.llm import hashing as H
-from profilematch.llm.common import slices, stored, text_bytes
+from profilematch.llm.common import free_name, slices, stored, text_bytes
 from profilematch.operators.skew import expand_join
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper"]
-#: metric: (numerator, factor, denominator, least distance of the fence from the quartile, lower fence as well)
+#: metric: (numerator, factor, denominator, lower fence as well)
 METRICS = {
-    "symbols": ("n_symbols", 1000, "n_words", 150, False),
-    "dup_lines": ("n_dup_lines", 1000, "n_lines", 600, False),
-    "repeats": ("n_repeat_words", 1000, "n_words", 350, False),
-    "upper": ("n_upper", 1000, "word_chars", 200, False),
-    "length": ("word_chars", 100, "n_words", 200, True),
+    "symbols": ("n_symbols", 1000, "n_words", False),
+    "dup_lines": ("n_dup_lines", 1000, "n_lines", False),
+    "repeats": ("n_repeat_words", 1000, "n_words", False),
+    "upper": ("n_upper", 1000, "word_chars", False),
+    "length": ("word_chars", 100, "n_words", True),
 }
-SPREAD = 4
+SPREAD = 6
+UNITS = 3
 MIN_DOCUMENTS = 200
 MIN_WORDS = 50
 MAX_BROADCAST_GROUPS = 100_000
@@ -109,7 +112,7 @@ def with_counts(docs: DataFrame, text: str = "text", name: str = _COLUMN) -> Dat
 
 
 def _metric(name: str, counts: str):
-    over, factor, under, _, _ = METRICS[name]
+    over, factor, under, _ = METRICS[name]
     n = F.col(f"{counts}.{under}")
     return F.when(n > 0, F.expr(f"{factor} * {counts}.{over} div {counts}.{under}")).otherwise(F.lit(0).cast("long"))
 
@@ -134,56 +137,56 @@ def sketches(counted: DataFrame, counts: str = _COLUMN) -> DataFrame:
     return rows.groupBy("lang", "source", "m.metric", "m.low").agg(F.count("*").alias("n"))
 
 
-def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """One row for each group: documents, and a map from metric to (q25, q75)."""
+def _quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each group: documents, and a map from metric to (q10, q50, q90)."""
     merged = sketch.groupBy(*keys, "metric", "low").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*keys, "metric")
     run = merged.withColumn("upto", F.sum("n").over(group.orderBy("low"))).withColumn("all", F.sum("n").over(group))
-    quartile = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("all") * q, F.col("low")))
+    quantile = lambda tenths: F.min(F.when(F.col("upto") * 10 >= F.col("all") * tenths, F.col("low")))
     found = run.groupBy(*keys, "metric").agg(
-        F.max("all").alias("n"), quartile(1).alias("q25"), quartile(3).alias("q75")
+        F.max("all").alias("n"), quantile(1).alias("q10"), quantile(5).alias("q50"), quantile(9).alias("q90")
     )
     return found.groupBy(*keys).agg(
         F.max("n").alias("n"),
-        F.map_from_entries(F.collect_list(F.struct("metric", F.struct("q25", "q75")))).alias("quartiles"),
+        F.map_from_entries(F.collect_list(F.struct("metric", F.struct("q10", "q50", "q90")))).alias("quantiles"),
     )
 
 
 def fences(sketch: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """(lang, source, fence): a map from metric to (low, high) for each language and source with a sketch."""
-    own = _quartiles(sketch, ["lang", "source"])
-    lang = _quartiles(sketch, ["lang"]).select(
-        F.col("lang").alias("_lang"), F.col("n").alias("n_lang"), F.col("quartiles").alias("of_lang")
+    own = _quantiles(sketch, ["lang", "source"])
+    lang = _quantiles(sketch, ["lang"]).select(
+        F.col("lang").alias("_lang"), F.col("n").alias("n_lang"), F.col("quantiles").alias("of_lang")
     )
-    whole = _quartiles(sketch.withColumn("_all", F.lit(1)), ["_all"]).select(F.col("quartiles").alias("of_all"))
+    whole = _quantiles(sketch.withColumn("_all", F.lit(1)), ["_all"]).select(F.col("quantiles").alias("of_all"))
     joined = own.join(lang, F.col("lang").eqNullSafe(F.col("_lang")), "left").join(F.broadcast(whole), how="left")
     chosen = (
-        F.when(F.col("n") >= min_documents, F.col("quartiles"))
+        F.when(F.col("n") >= min_documents, F.col("quantiles"))
         .when(F.col("n_lang") >= min_documents, F.col("of_lang"))
         .otherwise(F.col("of_all"))
     )
     entries = []
-    for m, (_, _, _, least, lower) in METRICS.items():
-        q25, q75 = F.col("q")[m]["q25"], F.col("q")[m]["q75"]
-        reach = F.greatest(SPREAD * (q75 - q25), F.lit(least).cast("long"))
-        low = q25 - reach if lower else F.lit(-1).cast("long")
-        entries += [F.lit(m), F.struct(low.alias("low"), (q75 + reach).alias("high"))]
+    for m, (_, _, _, lower) in METRICS.items():
+        q10, q50, q90 = (F.col("q")[m][q] for q in ("q10", "q50", "q90"))
+        low = q10 - SPREAD * (q50 - q10) if lower else F.lit(-1).cast("long")
+        entries += [F.lit(m), F.struct(low.alias("low"), (q90 + SPREAD * (q90 - q50)).alias("high"))]
     return joined.withColumn("q", chosen).select("lang", "source", F.create_map(*entries).alias("fence"))
 
 
-def _judged(counted: DataFrame, counts: str, limits: DataFrame) -> DataFrame:
-    """``counted`` with __kept: false if the base rule or a fence rejects the row."""
+def _judged(counted: DataFrame, counts: str, limits: DataFrame) -> tuple[DataFrame, str]:
+    """``counted`` with one more column, and its name: false if the base rule or a fence rejects the row."""
+    group, limit, by, verdict = (free_name(counted, f"__{n}") for n in ("group", "fence", "by", "kept"))
     key = lambda: F.to_json(F.struct("lang", "source"))
     small = limits.count() <= MAX_BROADCAST_GROUPS
-    one = limits.select(key().alias("__group"), "fence").withColumnRenamed("fence", "__fence")
-    many = counted.withColumn("__group", key()).withColumn("__salt_by", F.xxhash64("doc_id"))
-    joined = expand_join(many, one, "__group", "__salt_by", small, "left")
+    one = limits.select(key().alias(group), F.col("fence").alias(limit))
+    many = counted.withColumns({group: key(), by: F.xxhash64("doc_id")})
+    joined = expand_join(many, one, group, by, small, "left")
     inside = F.lit(True)
-    for m in METRICS:
-        v, fence = _metric(m, counts), F.col("__fence")[m]
-        inside = inside & (v <= fence["high"]) & (v >= fence["low"])
+    for m, (over, *_) in METRICS.items():
+        v, fence = _metric(m, counts), F.col(limit)[m]
+        inside = inside & ((v <= fence["high"]) | (F.col(f"{counts}.{over}") <= UNITS)) & (v >= fence["low"])
     kept = ~base_failed(counts) & F.coalesce(inside, F.lit(True))
-    return joined.withColumn("__kept", kept).drop("__group", "__salt_by", "__fence")
+    return joined.withColumn(verdict, kept).drop(group, by, limit), verdict
 
 
 def judge(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
@@ -191,12 +194,14 @@ def judge(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     small = docs.select("doc_id", "lang", "source", "text")
     counted = stored(with_counts(small).drop("text"), "rules")
     limits = stored(fences(sketches(counted), min_documents), "fences")
-    out = _judged(counted, _COLUMN, limits)
-    return out.select("doc_id", f"{_COLUMN}.*", base_failed().alias("base_failed"), F.col("__kept").alias("kept"))
+    out, verdict = _judged(counted, _COLUMN, limits)
+    return out.select("doc_id", f"{_COLUMN}.*", base_failed().alias("base_failed"), F.col(verdict).alias("kept"))
 
 
 def quality_filter(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns. Counts are made twice, so that no text is stored."""
     narrow = with_counts(docs.select("lang", "source", "text")).drop("text")
     limits = stored(fences(sketches(narrow), min_documents), "fences")
-    return _judged(with_counts(docs), _COLUMN, limits).where("__kept").select(*docs.columns)
+    counts = free_name(docs, _COLUMN)
+    out, verdict = _judged(with_counts(docs, name=counts), counts, limits)
+    return out.where(F.col(verdict)).select(*docs.columns)
