@@ -19,6 +19,9 @@ def expand_join(
     """
     if small:
         return many.join(F.broadcast(one), on, how)
-    salted_many = many.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int"))
-    salted_one = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted_many.join(salted_one, [on, "_salt"], how).drop("_salt")
+    salt, taken = "_salt", {c.lower() for c in (*many.columns, *one.columns)}
+    while salt in taken:
+        salt += "_"
+    salted_many = many.withColumn(salt, F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int"))
+    salted_one = one.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted_many.join(salted_one, [on, salt], how).drop(salt)
