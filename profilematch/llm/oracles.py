@@ -88,7 +88,7 @@ WITH texts AS (
 ), outside AS (
   SELECT DISTINCT r FROM low JOIN fences f ON low.lang IS NOT DISTINCT FROM f.lang
     AND low.source IS NOT DISTINCT FROM f.source AND low.metric = f.metric
-  WHERE (v > q90 + 6 * (q90 - q50) AND units > 3) OR (low.metric = 'length' AND v < q10 - 6 * (q50 - q10))
+  WHERE (low > q90 + 6 * (q90 - q50) AND units > 3) OR (low.metric = 'length' AND low < q10 - 6 * (q50 - q10))
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND o.r IS NULL AS kept

@@ -5,7 +5,8 @@ by adding counts, so a third of all rows under one source is counted inside the
 sources add up to those of languages and of the corpus. A group with few documents uses its language's sketch, then
 the corpus's. A document is rejected where a metric is above q90 + SPREAD * (q90 - q50) of its group, or, for the
 length of words, below q10 - SPREAD * (q50 - q10). So the tail of nine tenths of a group decides what is usual there;
-what a tenth of a group or more does is usual. UNITS of what a metric counts are no evidence: a text with that many or
+what a tenth of a group or more does is usual. Values are compared as lower bounds of their buckets, as quantiles are.
+UNITS of what a metric counts are no evidence: a text with that many or
 fewer is not rejected by it. All numbers are integers, so results don't depend on the order of merging.
 
 Null texts are empty. A document without words has all metrics 0 and fails the base rule. Null languages and sources
@@ -183,7 +184,7 @@ def _judged(counted: DataFrame, counts: str, limits: DataFrame) -> tuple[DataFra
     joined = expand_join(many, one, group, by, small, "left")
     inside = F.lit(True)
     for m, (over, *_) in METRICS.items():
-        v, fence = _metric(m, counts), F.col(limit)[m]
+        v, fence = bucket(_metric(m, counts)), F.col(limit)[m]
         inside = inside & ((v <= fence["high"]) | (F.col(f"{counts}.{over}") <= UNITS)) & (v >= fence["low"])
     kept = ~base_failed(counts) & F.coalesce(inside, F.lit(True))
     return joined.withColumn(verdict, kept).drop(group, by, limit), verdict

@@ -120,6 +120,7 @@ def test_quality_keeps_rows_and_columns(spark):
     judged = quality_rules.judge(docs, min_documents=5)
     assert kept.columns == docs.columns and judged.count() == docs.count()
     assert kept.count() == judged.where("kept").count() > 10
+    assert sorted(map(repr, kept.collect())) == sorted(repr(r) for r in docs.collect() if repr(r) in set(map(repr, kept.collect())))
     assert quality_rules.judge(docs.limit(0)).collect() == [] and quality_rules.quality_filter(docs.limit(0)).collect() == []
 
 
@@ -133,3 +134,14 @@ def test_fences_follow_their_group(spark):
     data += [(999, " ".join(w + " #" for w in words(r, 60)), "en", "plain", 0)]
     out = {r.doc_id: r.kept for r in quality_rules.judge(table(spark, data), min_documents=10).collect()}
     assert not out[999] and all(kept for i, kept in out.items() if i != 999)
+
+
+def test_few_units_are_no_evidence(spark):
+    """Where nobody has symbols, three of them reject no document and four do, whatever other metrics say."""
+    from tests.llm.fixtures import random, words
+
+    r = random.Random(2)
+    data = [(i, " ".join(words(r, 80)), "en", "plain", 0) for i in range(60)]
+    data += [(100 + n, " ".join(words(r, 80)) + " #" * n, "en", "plain", 0) for n in (3, 4)]
+    out = {r.doc_id: r.kept for r in quality_rules.judge(table(spark, data), min_documents=10).collect()}
+    assert out[103] and not out[104]
