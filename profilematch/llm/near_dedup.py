@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from profilematch.llm import hashing as H
-from profilematch.llm.common import row_key, slices, stored, tokens
+from profilematch.llm.common import free_name, row_key, slices, stored, tokens
 from profilematch.llm.components import components
 
 U = np.uint64
@@ -46,6 +46,8 @@ BLOCKS = 64
 FREQUENT = 0.005
 TABLE = 1 << 14
 PIECE = 2048
+#: Keys with more than this part of all rows, so fewer keys than this, meet their rows by a broadcast.
+HOT_SHARE = 1024
 #: Nodes, and weight of their shingles, in a block of a band.
 BLOCK_NODES, BLOCK_WEIGHT = 256, 200_000
 
@@ -355,6 +357,18 @@ def link_classes(signed: DataFrame, docs: DataFrame, levels: np.ndarray, thresho
     return roots if more.isEmpty() else stored(components(found.unionByName(more)), "roots")
 
 
+def _hot_join(many: DataFrame, one: DataFrame, key: str, rows: str) -> DataFrame:
+    """Stored ``many`` with the row of ``one`` for its key; ``one.rows`` is how many rows of ``many`` the key has.
+
+    A key with more than 1/HOT_SHARE of all rows is broadcast, so no task gets more than that from one key.
+    """
+    total = one.agg(F.coalesce(F.sum(rows), F.lit(0))).first()[0]
+    hot = F.col(rows) * HOT_SHARE > total
+    few = F.broadcast(one.where(hot))
+    rest = many.join(few.select(key), key, "left_anti").join(one.where(~hot), key)
+    return many.join(few, key).unionByName(rest)
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, row, class_id, class_size, kept): one row for each row of ``docs``; one text of each class is kept."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), "text")
@@ -363,11 +377,16 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     named = keyed.where(F.col("doc_id").isNotNull())
     signed = stored(signatures(named, levels), "signatures")
     roots = link_classes(signed, named, levels, threshold)
-    nodes = signed.select("doc_id", "row", "node").join(roots, "node", "left")
-    nodes = nodes.select("doc_id", "row", F.coalesce("root", "node").alias("root"))
-    sizes = nodes.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("head"), F.count("*").alias("class_size"))
+    nodes = signed.groupBy("node").agg(F.min(F.struct("doc_id", "row")).alias("least"), F.count("*").alias("copies"))
+    nodes = nodes.join(roots, "node", "left").select("node", "least", "copies", F.coalesce("root", "node").alias("root"))
+    nodes = stored(nodes, "nodes")
+    sizes = nodes.groupBy("root").agg(
+        F.min("least").alias("head"), F.sum("copies").alias("class_size"), F.count("*").alias("nodes")
+    )
+    of_node = _hot_join(nodes.select("node", "copies", "root"), stored(sizes, "sizes"), "root", "nodes").drop("root", "nodes")
+    known = _hot_join(signed.select("doc_id", "row", "node"), stored(of_node, "of_node"), "node", "copies")
     kept = (F.struct("doc_id", "row") == F.col("head")).alias("kept")
-    known = nodes.join(sizes, "root").select("doc_id", "row", F.col("head.doc_id").alias("class_id"), "class_size", kept)
+    known = known.select("doc_id", "row", F.col("head.doc_id").alias("class_id"), "class_size", kept)
     known = stored(known, "classes")
     rest = keyed.select("doc_id", "row").join(known.select("doc_id", "row").distinct(), ["doc_id", "row"], "left_anti")
     alone = rest.select("doc_id", "row", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept"))
@@ -379,7 +398,10 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     Rows without tokens or doc_id are classes of their own and stay; of rows equal in doc_id and text one stays.
     """
-    drop = classes(docs, threshold).where(~F.col("kept")).select(F.col("doc_id").alias("__doc"), F.col("row").alias("__row")).distinct()
-    keyed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__text": row_key()})
-    same = (F.col("__id") == F.col("__doc")) & (F.col("__text") == F.col("__row"))
-    return keyed.join(drop, same, "left_anti").dropDuplicates(["__id", "__text"]).select(*docs.columns)
+    names = ("doc", "row", "id", "text")
+    doc, row, own_id, own_row = (free_name(docs, f"__{name}") for name in names)
+    drop = classes(docs, threshold).where(~F.col("kept"))
+    drop = drop.select(F.col("doc_id").alias(doc), F.col("row").alias(row)).distinct()
+    keyed = docs.withColumns({own_id: F.col("doc_id").cast("long"), own_row: row_key()})
+    same = (F.col(own_id) == F.col(doc)) & (F.col(own_row) == F.col(row))
+    return keyed.join(drop, same, "left_anti").dropDuplicates([own_id, own_row]).select(*docs.columns)

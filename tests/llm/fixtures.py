@@ -40,7 +40,8 @@ def rows(seed: int = 7) -> list[tuple]:
 def table(spark, data=None, extra: bool = False, schema: str = SCHEMA):
     df = spark.createDataFrame(rows() if data is None else data, schema)
     if extra:
-        for name in ("spans", "score", "ids", "decoded", "matches", "kept", "kept_text", "n_words", "n_removed", "hash", "node"):
+        for name in ("spans", "score", "ids", "decoded", "matches", "kept", "kept_text", "n_words", "n_removed", "hash", "node",
+                     "__id", "__text", "__row", "__doc", "__group", "__fence", "__kept", "__rule_counts", "_salt"):
             df = df.selectExpr("*", f"'x' AS `{name}`")
     return df
 

@@ -46,6 +46,7 @@ def test_near_duplicates_keep_one(spark):
     assert kept.columns == docs.columns
     expected = {c for _, c, _ in plain_classes(rows())}
     assert {r.doc_id for r in kept.collect()} == expected
+    assert {repr(r) for r in kept.collect()} <= {repr(r) for r in docs.collect()}  # clashing names: nothing overwritten
     named = [(r.doc_id, r.text) for r in kept.where("doc_id is not null").collect()]
     assert len(named) == len(set(named))
     assert near_dedup.classes(docs.limit(0)).collect() == [] and near_dedup.keep_one(docs.limit(0)).collect() == []
