@@ -159,10 +159,13 @@ CUSTOMER_PROFILES = f"""profiles AS (SELECT c_custkey AS id, concat_ws(' ', c_mk
 docs AS (SELECT id, profile FROM profiles),
 dtok AS (SELECT id, unnest({ws(clean("profile"))}) AS term FROM docs)"""
 
-SIMILAR_PROFILES = f"""WITH {CUSTOMER_PROFILES}, {weights("dtok", "log2")},
+
+def similar_profiles(model: str) -> str:
+    formula, places = ("log2", 4) if model == "A" else ("smooth", 6)
+    return f"""WITH {CUSTOMER_PROFILES}, {weights("dtok", formula)},
 dots AS (SELECT q.id AS rid, d.id, sum(q.w * d.w) AS sim FROM weights q JOIN weights d USING (term) GROUP BY q.id, d.id),
 req AS (SELECT id AS rid FROM docs),
-{ranked("req", "A", 4, "5", "r.rid <> d.id")}"""
+{ranked("req", model, places, "5", "r.rid <> d.id")}"""
 
 
 def similar_pairs(docs: str, formula: str, places: int) -> str:
@@ -362,7 +365,9 @@ ORACLES: dict[str, str] = {
     "search_padded_b": search_padded("B"),
     "find_similar_a": find_similar("A"),
     "find_similar_b": find_similar("B"),
-    "similar_profiles": SIMILAR_PROFILES,
+    "similar_profiles": similar_profiles("A"),
+    "similar_profiles_b": similar_profiles("B"),
+    "similar_profiles_b_blocks": similar_profiles("B"),
     "similar_pairs": similar_pairs(CUSTOMER_PROFILES, "log2", 4),
     "similar_pairs_text": pairs_text(),
     "recommend_retrieval": recommend(P.RETRIEVAL_THRESHOLD),

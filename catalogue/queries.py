@@ -225,8 +225,12 @@ def customer_profiles(spark, sf):
     )
 
 
-def similar_profiles(spark, sf):
-    return find.similar_profiles(customer_profiles(spark, sf), 5)
+def _similar_profiles(model: str, **options) -> Query:
+    def run(spark, sf):
+        found = find.similar_profiles(customer_profiles(spark, sf), 5, model, **options)
+        return found if model == "A" else found.withColumn("similarity", F.round("similarity", 6))
+
+    return run
 
 
 def _similar_pairs(use_prefixes: bool | None = None) -> Query:
@@ -723,7 +727,9 @@ QUERIES: dict[str, Query] = {
     "find_similar_a_bounded": _find_similar("A", bounded_from=0),
     "find_similar_b_bounded": _find_similar("B", bounded_from=0),
     "find_similar_a_broadcast": _find_similar("A", max_broadcast_requests=1_000_000),
-    "similar_profiles": similar_profiles,
+    "similar_profiles": _similar_profiles("A"),
+    "similar_profiles_b": _similar_profiles("B"),
+    "similar_profiles_b_blocks": _similar_profiles("B", max_broadcast_requests=0),
     "similar_pairs": _similar_pairs(),
     "similar_pairs_prefixes": _similar_pairs(True),
     "similar_pairs_grid": _similar_pairs(False),

@@ -86,9 +86,21 @@ def test_find_equals_brute_force(spark, random_docs, random_frame, model, formul
     found = rows(find_similar(index, asked, 7, model, max_broadcast_requests=limit))
     assert [x[:3] for x in found] == [x[:3] for x in sorted(expected)]
     assert all(abs(x[3] - y[3]) < 2e-4 for x, y in zip(found, sorted(expected), strict=True))
-    if model == "A":
-        collapsed = rows(similar_profiles(random_frame, 7, max_broadcast_requests=limit))
-        assert [x[:3] for x in collapsed] == [x[:3] for x in sorted(expected)]
+    collapsed = rows(similar_profiles(random_frame, 7, model, max_broadcast_requests=limit))
+    assert [x[:3] for x in collapsed] == [x[:3] for x in sorted(expected)]
+
+
+@pytest.mark.parametrize("model,own", [("A", []), ("B", [-1.0])])
+def test_whole_profiles_of_a_small_corpus(spark, model, own):
+    """All others come in the order of ties, copies included; the row itself is last, at -1, for model B only."""
+    docs = [(0, "x y"), (1, "z"), (2, "x y"), (3, "x y"), (4, "q")]
+    frame = spark.createDataFrame(docs, "id long, profile string").withColumn("tokens", F.split("profile", " "))
+    found = rows(similar_profiles(frame, 6, model))
+    ids = [i for i, _ in docs] if model == "A" else [i for i, _ in reversed(docs)]
+    for i, text in docs:
+        others = [(k, 1.0) for k in ids if k != i and dict(docs)[k] == text] + [(k, 0.0) for k in ids if dict(docs)[k] != text]
+        expected = others + [(i, s) for s in own]
+        assert [(x[2], x[3]) for x in found if x[0] == i] == expected
 
 
 def test_hot_and_rare_terms_join_apart(random_docs, random_frame):
