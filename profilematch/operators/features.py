@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from py4j.protocol import Py4JJavaError
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Transformer
@@ -29,6 +30,8 @@ SEED = 42
 PCA_SCALES = (1.0, 7.3, 0.37, 53.0, 0.019)
 
 MAX_ENCODED_COLUMNS = 10_000
+#: The covariance goes to the driver: half of 8,192 x 8,192 doubles is 268 MB.
+MAX_PCA_WIDTH = 8_192
 
 
 def field_values(df: DataFrame, fields: list[str]) -> DataFrame:
@@ -77,6 +80,8 @@ def fit_features(
     """
     if not fits(vocab, MAX_ENCODED_COLUMNS):
         raise ValueError(f"more than {MAX_ENCODED_COLUMNS} terms: cap the vocabulary")
+    if not fits(encoded_columns(data, fields), MAX_ENCODED_COLUMNS):
+        raise ValueError(f"more than {MAX_ENCODED_COLUMNS} values in {fields}: group rare ones")
     terms = vocab.orderBy("term").collect()
     idf = Vectors.dense([r["idf"] for r in terms])
     indexed = [f"_{f}_index" for f in fields]
@@ -95,23 +100,35 @@ def fit_features(
     return PipelineModel(stages=[*prepared.stages, *fit_centred_pca(assembled, "_all", components)])
 
 
+def _signs(loadings: np.ndarray) -> np.ndarray:
+    """1 or -1 for each component, so that its largest loading becomes positive."""
+    largest = np.abs(loadings).round(9).argmax(axis=0)
+    return np.where(loadings[largest, np.arange(loadings.shape[1])] < 0, -1.0, 1.0)
+
+
 def fit_centred_pca(
     data: DataFrame, input_col: str, components: int = PCA_COMPONENTS, output_col: str = "features"
 ) -> list[Transformer]:
     """Fitted stages for PCA on centred input; MLlib's projection itself does not centre.
 
+    The largest loading of each component is positive (of equal ones the first), so signs are fixed. The width of the
+    input is checked first, as the covariance goes to the driver.
     Its decomposition may fail to converge on a covariance of low rank. The components do not depend on
     the scale of the input, so another scale is tried then, and taken out of the result again.
     """
+    width = data.where(F.col(input_col).isNotNull()).select(input_col).first()
+    if width and width[0].size > MAX_PCA_WIDTH:
+        raise ValueError(f"{width[0].size} columns: PCA takes {MAX_PCA_WIDTH} at most")
     scaler = StandardScaler(withMean=True, withStd=False, inputCol=input_col, outputCol="_centred").fit(data)
     centred = scaler.transform(data)
     size, k = scaler.mean.size, min(components, scaler.mean.size)
     for scale in PCA_SCALES:
         scaled = ElementwiseProduct(scalingVec=Vectors.dense([scale] * size), inputCol="_centred", outputCol="_scaled")
-        back = ElementwiseProduct(scalingVec=Vectors.dense([1 / scale] * k), inputCol="_scores", outputCol=output_col)
         pca = PCA(k=k, inputCol="_scaled", outputCol="_scores")
         try:
-            return [scaler, scaled, pca.fit(scaled.transform(centred)), back]
+            fitted = pca.fit(scaled.transform(centred))
+            signs = Vectors.dense(_signs(fitted.pc.toArray()) / scale)
+            return [scaler, scaled, fitted, ElementwiseProduct(scalingVec=signs, inputCol="_scores", outputCol=output_col)]
         except Py4JJavaError as error:
             if "NotConvergedException" not in str(error):
                 raise

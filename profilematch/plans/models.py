@@ -95,7 +95,7 @@ def best_model(results: DataFrame) -> DataFrame:
 
 
 def pca_project(data: DataFrame, id_col: str, vector_col: str, components: int) -> DataFrame:
-    """(id, pca): centred PCA scores. The sign of a component is arbitrary."""
+    """(id, pca): centred PCA scores. The largest loading of a component is positive."""
     fitted = PipelineModel(stages=fit_centred_pca(data, vector_col, components, "pca"))
     return fitted.transform(data).select(id_col, vector_to_array("pca").alias("pca"))
 
