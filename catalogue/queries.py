@@ -20,7 +20,7 @@ from profilematch.operators import features, tfidf
 from profilematch.operators.lookup import Dictionaries, normalize_text
 from profilematch.operators.term_layout import lay_out
 from profilematch.operators.tfidf import Index, fit_index
-from profilematch.plans import find, mixed, models, recommend, recommender, reports
+from profilematch.plans import clustering, find, mixed, models, recommend, recommender, reports
 from profilematch.plans.requests import attach_companies, route_requests, unmatched_requests
 from profilematch.plans.search import search, tokenize
 from profilematch.session import materialize, shared_folder, spread
@@ -679,6 +679,16 @@ def kmeans_cluster(spark, sf):
     )
 
 
+def kmeans_chosen(spark, sf):
+    """The clusters of the k in 5, 10, 20 with the greatest silhouette: label, rows counted anew, mean distance, silhouette."""
+    points = clustering.prepared(embedded(spark, sf), "id", "vector")
+    best, _ = clustering.choose(points, [5, 10, 20])
+    rows = clustering.assign(points, best).groupBy("cluster")
+    return rows.agg(F.count(F.lit(1)).alias("size"), F.round(F.avg("distance"), 6).alias("mean_distance")).withColumn(
+        "silhouette", F.lit(round(best.silhouette, 6))
+    )
+
+
 def word2vec_similar(spark, sf):
     """What must hold of each list: five dense ranks, scores that fall, within [-1, 1], never the text itself."""
     vectors = materialize(models.word_vectors(raw_tokens(spark, sf)), "word-vectors")
@@ -771,5 +781,6 @@ QUERIES: dict[str, Query] = {
     "best_model": best_model,
     "pca_project": pca_project,
     "kmeans_cluster": kmeans_cluster,
+    "kmeans_chosen": kmeans_chosen,
     "word2vec_similar": word2vec_similar,
 }
