@@ -395,6 +395,7 @@ ORACLES: dict[str, str] = {
     "FROM supplier JOIN nation ON s_nationkey = n_nationkey",
     "score_display": score_display(),
     "knn_classify": f"WITH {NEAREST}, {voted(5, 'v5')} SELECT id, label, prediction FROM v5",
+    "knn_classify_pruned": f"WITH {NEAREST}, {voted(5, 'v5')} SELECT id, label, prediction FROM v5",
     "knn_accuracy": f"WITH {NEAREST}, {voted(5, 'v5')} "
     "SELECT round(avg(CAST(label = prediction AS DOUBLE)), 10) AS accuracy FROM v5",
     "model_report": f"{FAMILY} SELECT family, model, round(accuracy, 10) AS accuracy, "

@@ -21,6 +21,7 @@ from profilematch.operators.lookup import Dictionaries, normalize_text
 from profilematch.operators.term_layout import lay_out
 from profilematch.operators.tfidf import Index, fit_index
 from profilematch.plans import clustering, find, mixed, models, recommend, recommender, reports
+from profilematch.plans.neighbours import nearest_pruned
 from profilematch.plans.requests import attach_companies, route_requests, unmatched_requests
 from profilematch.plans.search import search, tokenize
 from profilematch.session import materialize, shared_folder, spread
@@ -530,6 +531,13 @@ def knn_accuracy(spark, sf):
     return _knn(spark, sf, models.KNN_K).agg(F.round(accuracy("label", "prediction"), 10).alias("accuracy"))
 
 
+def knn_classify_pruned(spark, sf):
+    """knn_classify by pivots: rows meet only the blocks that can hold a neighbour."""
+    train, test = _split(spark, sf)
+    voted = models.vote(nearest_pruned(test, train, models.KNN_K).neighbours)
+    return voted.join(test.select("id", "label"), "id").select("id", "label", "prediction")
+
+
 def _family_results(spark, sf):
     train, test = _split(spark, sf)
     near = materialize(models.nearest(test, train, 5), "nearest")
@@ -767,6 +775,7 @@ QUERIES: dict[str, Query] = {
     "company_card": company_card,
     "score_display": score_display,
     "knn_classify": knn_classify,
+    "knn_classify_pruned": knn_classify_pruned,
     "knn_accuracy": knn_accuracy,
     "model_report": model_report,
     "best_of_report": best_of_report,
