@@ -12,7 +12,7 @@ from catalogue import queries as Q
 from profilematch.operators.tfidf import Index
 from profilematch.plans import reports
 from profilematch.plans.search import search
-from profilematch.session import shared_folder
+from profilematch.session import job, shared_folder
 from profilematch.sources.artefacts import require, write_results
 from profilematch.sources.dictionaries import read_term_map, read_word_list
 from profilematch.sources.tables import read_companies
@@ -68,6 +68,12 @@ def search_a_loaded(spark, sf):
     return found.withColumn("similarity", F.round("similarity", 6))
 
 
+def search_a_in_job(spark, sf):
+    """search_a as a job that drops its steps and keeps its result."""
+    with job(spark) as running:
+        return running.keep(Q.QUERIES["search_a"](spark, sf))
+
+
 def written_results(spark, sf):
     write_results(Q.point_lookup(spark, sf), path := folder(spark, "results"))
     return spark.read.parquet(require(spark, path))
@@ -95,6 +101,7 @@ FILE_QUERIES = {
     "companies_csv": companies_csv,
     "companies_parquet": companies_parquet,
     "search_a_loaded": search_a_loaded,
+    "search_a_in_job": search_a_in_job,
     "written_results": written_results,
     "model_report_files": model_report_files,
 }

@@ -467,6 +467,7 @@ for second, first in {
     "search_a_blocks": "search_a",
     "search_b_blocks": "search_b",
     "search_a_loaded": "search_a",
+    "search_a_in_job": "search_a",
     "find_similar_a_bounded": "find_similar_a",
     "find_similar_b_bounded": "find_similar_b",
     "find_similar_a_broadcast": "find_similar_a",

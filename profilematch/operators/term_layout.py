@@ -12,8 +12,6 @@ document without an essential term can be among the best. Frequent terms then on
 
 from __future__ import annotations
 
-import os
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -21,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from profilematch.operators.tfidf import Index
-from profilematch.session import bucket_count, materialize, shared_folder
+from profilematch.session import bucket_count, materialize, step_path, table_name
 
 #: Postings of a slot, on average, and the bounds of the number of slots.
 SLOT_ENTRIES, MIN_SLOTS, MAX_SLOTS = 1_000_000, 16, 4_096
@@ -50,8 +48,8 @@ def lay_out(index: Index, path: str | None = None, slots: int | None = None) ->
     if slots is None:
         entries = index.vocab.agg(F.sum("df")).first()[0] or 0
         slots = int(min(MAX_SLOTS, max(MIN_SLOTS, entries // SLOT_ENTRIES)))
-    path = path or os.path.join(shared_folder(spark), "profilematch", f"by-term-{uuid.uuid4().hex}")
-    name = "profilematch_" + uuid.uuid4().hex
+    path = path or step_path(spark, "by-term")
+    name = table_name()
     # the weights are partitioned by id already: a task writes one bucket of each slot
     rows = index.weights.select("id", "term", "w", _slot(slots).alias("slot"))
     writer = rows.write.mode("overwrite").option("path", path).partitionBy("slot")

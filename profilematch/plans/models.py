@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -27,7 +25,7 @@ from pyspark.sql import functions as F
 from profilematch.functions.scores import accuracy
 from profilematch.operators.blocks import distance_kernel, n_blocks, product_kernel, score_grid
 from profilematch.operators.features import SEED, fit_centred_pca
-from profilematch.session import fits, materialize, shared_folder
+from profilematch.session import fits, materialize, step_path
 
 TRAIN_PERCENT = 80
 KNN_K = 5
@@ -62,7 +60,7 @@ def without_summary(model: Model, spark: SparkSession) -> Model:
     A fitted model may keep the summary of its training, and with it the session. Its ``transform`` then fails to
     serialize once the session holds what can't be sent to tasks, such as a user's own ``Observation``.
     """
-    path = os.path.join(shared_folder(spark), "profilematch", f"model-{uuid.uuid4().hex}")
+    path = step_path(spark, "model")
     model.write().save(path)
     return type(model).load(path)
 

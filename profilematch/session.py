@@ -1,10 +1,14 @@
-"""Session defaults, the shared folder for cut lineage, and size checks."""
+"""Session defaults, the shared folder for cut lineage, jobs that tidy up after themselves, and size checks."""
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,18 +41,76 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+class Job:
+    """Steps stored inside ``job``. ``keep`` stores a result with what is outside, so that it outlives the job."""
+
+    def __init__(self, spark: SparkSession, outer: Job | None) -> None:
+        self.spark, self.outer = spark, outer
+        self.name = f"job_{uuid.uuid4().hex}"
+
+    def keep(self, df: DataFrame, label: str = "result") -> DataFrame:
+        inside = _job.set(self.outer)
+        try:
+            return materialize(df, label)
+        finally:
+            _job.reset(inside)
+
+
+_job: ContextVar[Job | None] = ContextVar("profilematch_job", default=None)
+
+
+@contextmanager
+def job(spark: SparkSession) -> Iterator[Job]:
+    """Folders and catalog tables that are stored inside are dropped at the end, also after a failure.
+
+    A frame that is read after the end has to go through ``keep``; jobs may be nested, and an inner job's result belongs
+    to the outer one. If the driver is lost, ``drop_job`` drops what the job named left, from any session with the
+    same catalog and folder. Steps outside of any job stay.
+    """
+    one = Job(spark, _job.get())
+    inside = _job.set(one)
+    try:
+        yield one
+    finally:
+        _job.reset(inside)
+        drop_job(spark, one.name)
+
+
+def drop_job(spark: SparkSession, name: str) -> None:
+    """Drop the tables and the folder of a job that is over; nothing happens if there are none."""
+    if not re.fullmatch("job_[0-9a-f]{32}", name):
+        raise ValueError(f"{name!r} is not the name of a job")
+    for table in spark.catalog.listTables(pattern=f"profilematch_{name}_*"):
+        spark.sql(f"DROP TABLE IF EXISTS `{table.name}`")
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(os.path.join(shared_folder(spark), "profilematch", name))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def step_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, inside the folder of the job that runs."""
+    inside = _job.get()
+    parts = [shared_folder(spark), "profilematch", *([inside.name] if inside else []), f"{label}-{uuid.uuid4().hex}"]
+    return os.path.join(*parts)
+
+
+def table_name() -> str:
+    """A new name for the catalog, with that of the job that runs."""
+    inside = _job.get()
+    return "_".join(["profilematch", *([inside.name] if inside else []), uuid.uuid4().hex])
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
-    path = os.path.join(shared_folder(spark), "profilematch", f"{label}-{uuid.uuid4().hex}")
+    path = step_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def materialize_by(df: DataFrame, label: str, key: str) -> DataFrame:
     """Like ``materialize``, as a table bucketed by ``key``: grouping by the key needs no shuffle."""
-    path = os.path.join(shared_folder(df.sparkSession), "profilematch", f"{label}-{uuid.uuid4().hex}")
-    return write_bucketed(df, path, key)
+    return write_bucketed(df, step_path(df.sparkSession, label), key)
 
 
 def bucket_count(spark: SparkSession) -> int:
@@ -58,7 +120,7 @@ def bucket_count(spark: SparkSession) -> int:
 
 def write_bucketed(df: DataFrame, path: str, key: str) -> DataFrame:
     buckets = bucket_count(df.sparkSession)
-    name = "profilematch_" + uuid.uuid4().hex
+    name = table_name()
     df.write.mode("overwrite").option("path", path).bucketBy(buckets, key).saveAsTable(name)
     return df.sparkSession.table(name)
 
@@ -66,7 +128,7 @@ def write_bucketed(df: DataFrame, path: str, key: str) -> DataFrame:
 def read_bucketed(spark: SparkSession, path: str, key: str, buckets: int) -> DataFrame:
     """A table that ``write_bucketed`` left at ``path``, in a session that may not know it yet."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
-    name = "profilematch_" + uuid.uuid4().hex
+    name = table_name()
     location = path.replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({key}) INTO {buckets} BUCKETS LOCATION '{location}'"

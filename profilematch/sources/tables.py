@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from profilematch.sources.records import read_csv
+
 CATEGORICAL = (
     "company_type", "company_industry", "company_size", "country", "working_days", "overtime_policy",
 )
@@ -28,9 +30,9 @@ def snake_case(name: str) -> str:
 
 
 def read_companies(spark: SparkSession, path: str, format: str = "parquet", check_ids: bool = True) -> DataFrame:
-    """Companies in snake_case columns, from Parquet or from CSV with a header and multi-line cells."""
+    """Companies in snake_case columns, from Parquet or from CSV with a header and multi-line cells (see ``records``)."""
     if format == "csv":
-        raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+        raw = read_csv(spark, path)
     elif format == "parquet":
         raw = spark.read.parquet(path)
     else:
