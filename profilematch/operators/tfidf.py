@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from profilematch.session import bucket_count, fits, materialize, materialize_by, read_bucketed, write_bucketed
+from profilematch.session import bucket_count, fits, materialize, materialize_by, partition_by, read_bucketed, write_bucketed
 
 FORMULAS = ("log2", "smooth")
 # A vocabulary up to this many rows is broadcast whole; of a larger one, its frequent terms are, at most this many.
@@ -48,7 +48,7 @@ def exploded(docs: DataFrame, *keep: str, tokens: str | Column = "tokens") -> Da
 def term_counts(docs: DataFrame, partitioned: bool = False) -> DataFrame:
     """(id, term, tf) from (id, tokens), partitioned by id; ``partitioned`` says that ``docs`` already is."""
     docs = docs.select("id", "tokens")
-    terms = exploded(docs if partitioned else docs.repartition("id"), "id")
+    terms = exploded(docs if partitioned else partition_by(docs, "id"), "id")
     return terms.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -123,7 +123,8 @@ def fit_index(
 ) -> Index:
     """Fit on a token column. ``max_terms`` keeps the most frequent terms of the corpus only.
 
-    ``partitioned``: ``docs`` is already hash-partitioned by its id, as ``repartition(id_col)`` leaves it.
+    ``partitioned``: ``docs`` is already hash-partitioned by its id, as ``partition_by`` or ``repartition`` leave it. A task
+    holds a count for each term of each of its texts.
     """
     docs = docs.select(F.col(id_col).alias("id"), F.col(tokens_col).alias("tokens"))
     ids = docs.select("id")
