@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from profilematch.operators.tfidf import Index
 from profilematch.session import bucket_count, materialize, step_path, table_name
 
-#: Postings of a slot, on average, and the bounds of the number of slots.
-SLOT_ENTRIES, MIN_SLOTS, MAX_SLOTS = 1_000_000, 16, 4_096
+#: Postings of a bucket of a slot, which is a file, on average, and the bounds of the number of slots: more slots would
+#: make files of a few kilobytes, whose number grows with the postings times the buckets.
+FILE_ENTRIES, MIN_SLOTS, MAX_SLOTS = 500_000, 4, 4_096
 #: Terms up to this number are named in the scan itself.
 MAX_NAMED_TERMS = 1_000
 #: Share of a request's possible score that its essential terms make up.
@@ -42,12 +43,17 @@ def _slot(slots: int) -> Column:
     return F.pmod(F.xxhash64("term"), F.lit(slots)).cast("int")
 
 
+def slots_for(entries: int, buckets: int) -> int:
+    """Slots of a table of ``entries`` postings in ``buckets`` buckets."""
+    return min(MAX_SLOTS, max(MIN_SLOTS, entries // (FILE_ENTRIES * buckets)))
+
+
 def lay_out(index: Index, path: str | None = None, slots: int | None = None) -> TermLayout:
     """Write the postings of ``index`` by term to ``path`` (a folder of the job, if none is given)."""
     spark = index.vocab.sparkSession
     if slots is None:
         entries = index.vocab.agg(F.sum("df")).first()[0] or 0
-        slots = int(min(MAX_SLOTS, max(MIN_SLOTS, entries // SLOT_ENTRIES)))
+        slots = slots_for(int(entries), bucket_count(spark))
     path = path or step_path(spark, "by-term")
     name = table_name()
     # the weights are partitioned by id already: a task writes one bucket of each slot
