@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -34,8 +35,8 @@ PIVOT_ROWS = 250
 MAX_PIVOTS, MAX_NUMBERS = 1024, 1_000_000
 #: Rings of all pivots together; salting rings of many rows at most doubles that.
 MAX_BLOCKS = 100_000
-#: Bounds (left rows times blocks) that a task holds at a time.
-CELL_BOUNDS = 2_000_000
+#: Bounds (left rows times blocks) and distances to pivots that a task holds at a time.
+CELL_BOUNDS = 200_000
 #: Error of a distance by matrix product, relative to the lengths of the vectors; pivots nearer than CLOSE have no plane.
 SLACK, CLOSE = 1e-6, 1e-4
 
@@ -65,12 +66,13 @@ def _in_parts(right: DataFrame, pivots: np.ndarray) -> DataFrame:
     sent = right.sparkSession.sparkContext.broadcast(pivots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(1, CELL_BOUNDS // len(sent.value))
         for batch in batches:
-            if batch.num_rows:
-                d = _distances(_matrix(batch.column("vector")), sent.value)
+            for some in (batch.slice(start, step) for start in range(0, batch.num_rows, step)):
+                d = _distances(_matrix(some.column("vector")), sent.value)
                 part = d.argmin(axis=1)
                 new = [pa.array(part, pa.int32()), pa.array(d[np.arange(len(d)), part])]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, "part", "d"])
+                yield pa.RecordBatch.from_arrays([*some.columns, *new], [*some.schema.names, "part", "d"])
 
     types = dict(right.dtypes)
     return right.mapInArrow(run, f"id {types['id']}, vector array<double>, label {types['label']}, part int, d double")
@@ -106,7 +108,7 @@ class _Bounds:
 
     def slices(self, batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
         """Some rows, their bound for each block, their greatest distance to any row of it, and the error of both."""
-        step = max(1, CELL_BOUNDS // max(1, len(self.names)))
+        step = max(1, CELL_BOUNDS // max(1, len(self.names), len(self.pivots)))
         for start in range(0, batch.num_rows, step):
             some = batch.slice(start, step)
             x = _matrix(some.column("vector"))
@@ -148,9 +150,11 @@ def _other_blocks(lined: DataFrame, bounds) -> DataFrame:
         for batch in batches:
             for some, least, _, error in held.slices(batch):
                 row, col = np.nonzero(least <= (some.column("line").to_numpy() + error)[:, None])
-                ids, names, own = some.column("id").take(pa.array(row)), held.names.take(pa.array(col)), some.column("own")
-                other = np.asarray(names.to_numpy(zero_copy_only=False) != own.take(pa.array(row)).to_numpy(zero_copy_only=False), bool)
-                yield pa.RecordBatch.from_arrays([ids.filter(pa.array(other)), names.filter(pa.array(other))], ["id", "rb"])
+                # places instead of names: no Python string for each pair
+                own = pc.index_in(some.column("own"), held.names).to_numpy(zero_copy_only=False)
+                other = col != own[row]
+                row, col = pa.array(row[other]), pa.array(col[other])
+                yield pa.RecordBatch.from_arrays([some.column("id").take(row), held.names.take(col)], ["id", "rb"])
 
     return lined.select("id", "vector", "own", "line").mapInArrow(run, f"id {dict(lined.dtypes)['id']}, rb string")
 
@@ -199,13 +203,14 @@ def nearest_pruned(left: DataFrame, right: DataFrame, k: int, pivots: int | None
     bounds, few = spark.sparkContext.broadcast(_Bounds(centres, held)), len(held) <= MAX_BROADCAST_ROWS
 
     kernel, points = distance_kernel(k), asked.select("id", "vector")
+    best = lambda scored: _ranked(scored, k).drop("rank")
     own = materialize(_first_blocks(points, bounds, k), "first-blocks")
-    first = materialize(score_pairs(points, rows, own.select("id", "rb"), kernel, schema, few), "first-distances")
+    first = materialize(score_pairs(points, rows, own.select("id", "rb"), kernel, schema, few, best), "first-distances")
     reached = first.groupBy("id").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("reached"))
     lined = points.join(own.withColumnRenamed("rb", "own"), "id").join(reached, "id", "left")
     lined = lined.withColumn("line", F.least("line", F.coalesce("reached", F.lit(float("inf")))))
     others = materialize(_other_blocks(lined, bounds), "other-blocks")
-    found = first.unionByName(score_pairs(points, rows, others, kernel, schema, few))
+    found = first.unionByName(score_pairs(points, rows, others, kernel, schema, few, best))
 
     one = F.struct("rank", "neighbour", "label", "distance")
     lists = _ranked(found, k).groupBy("id").agg(F.collect_list(one).alias("_found"))
