@@ -179,12 +179,13 @@ def score_pairs(
     schema: str,
     few_blocks: bool,
     best: Callable[[DataFrame], DataFrame] | None = None,
+    round_rows: int | None = None,
 ) -> DataFrame:
     """Apply ``kernel`` where ``pairs`` (id, rb) wants a left row to meet a right block. Right rows have ``block``.
 
     All left rows that want a block meet it together, BLOCK_ROWS at a time: a left row is copied once for each block it
     wants, a block once for each BLOCK_ROWS rows that want it. Left rows are taken in rounds, so that a round copies
-    about twice as many rows as the right side has. All three tables are stored ones. ``best`` keeps what may be wanted of a
+    about twice as many rows as the right side has, or ``round_rows`` if that is more. All three tables are stored ones. ``best`` keeps what may be wanted of a
     round's rows; a left row has all its rows in one round.
     """
     hint = F.broadcast if few_blocks else (lambda df: df)
@@ -192,7 +193,7 @@ def score_pairs(
     renamed = {c: f"right_{c}" for c in right.columns if c != "block"}
     nothing = to_arrow_schema(_parse_datatype_string(schema)).empty_table()
     copies, rows = pairs.count(), right.count()
-    rounds = max(1, math.ceil(copies / max(2 * rows, ROUND_ROWS)))
+    rounds = max(1, math.ceil(copies / max(2 * rows, round_rows or ROUND_ROWS)))
 
     def cell(left_rows: pa.Table, right_rows: pa.Table) -> pa.Table:
         if not len(left_rows) or not len(right_rows):

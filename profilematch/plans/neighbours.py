@@ -37,6 +37,8 @@ MAX_PIVOTS, MAX_NUMBERS = 1024, 1_000_000
 MAX_BLOCKS = 100_000
 #: Bounds (left rows times blocks) and distances to pivots that a task holds at a time.
 CELL_BOUNDS = 200_000
+#: Copies of points that a round may always make: a point is much shorter than the terms of a text.
+ROUND_POINTS = 20_000_000
 #: Error of a distance by matrix product, relative to the lengths of the vectors; pivots nearer than CLOSE have no plane.
 SLACK, CLOSE = 1e-6, 1e-4
 
@@ -205,12 +207,12 @@ def nearest_pruned(left: DataFrame, right: DataFrame, k: int, pivots: int | None
     kernel, points = distance_kernel(k), asked.select("id", "vector")
     best = lambda scored: _ranked(scored, k).drop("rank")
     own = materialize(_first_blocks(points, bounds, k), "first-blocks")
-    first = materialize(score_pairs(points, rows, own.select("id", "rb"), kernel, schema, few, best), "first-distances")
+    first = materialize(score_pairs(points, rows, own.select("id", "rb"), kernel, schema, few, best, ROUND_POINTS), "first-distances")
     reached = first.groupBy("id").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("reached"))
     lined = points.join(own.withColumnRenamed("rb", "own"), "id").join(reached, "id", "left")
     lined = lined.withColumn("line", F.least("line", F.coalesce("reached", F.lit(float("inf")))))
     others = materialize(_other_blocks(lined, bounds), "other-blocks")
-    found = first.unionByName(score_pairs(points, rows, others, kernel, schema, few, best))
+    found = first.unionByName(score_pairs(points, rows, others, kernel, schema, few, best, ROUND_POINTS))
 
     one = F.struct("rank", "neighbour", "label", "distance")
     lists = _ranked(found, k).groupBy("id").agg(F.collect_list(one).alias("_found"))
