@@ -1,6 +1,7 @@
 """Steps that copy rows or hold many of them do so in parts of bounded size, with the same rows."""
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from profilematch import find_similar, fit_index
 from profilematch.operators import blocks, pairs, similarity
 from profilematch.operators.pairs import pairs_above
 from profilematch.plans import models
-from profilematch.session import shuffle_cleanup
+from profilematch.session import shared_folder, shuffle_cleanup
 
 
 @pytest.fixture
@@ -87,6 +88,29 @@ def test_a_round_copies_about_the_right_side():
         assert cells <= max(2 * blocks.CELLS_PER_CORE * 12, -(-right // tiles))
 
 
+def test_a_round_has_a_part_of_the_right_side():
+    for left, right in ((40, 100), (160, 400), (960, 2400), (5000, 1)):
+        tiles, together = blocks.round_size(left, right, 12)
+        right = -(-right // tiles)
+        a_part = -(-right // blocks.right_parts(together, right, 12))
+        assert together * a_part <= 2 * max(blocks.CELLS_PER_CORE * 12, together)
+
+
+def test_vectors_do_not_stay(spark, texts, rounds, monkeypatch):
+    def steps():
+        return {p.name for p in Path(shared_folder(spark)).glob("profilematch/*")}
+
+    index = fit_index(texts, "id", "tokens", "smooth").stored()
+    asked = texts.select(F.col("id").alias("request_id"), F.col("id").alias("company_id"))
+    monkeypatch.setattr(similarity, "KIND_ROWS", 20)
+    monkeypatch.setattr(blocks, "ROUND_ROWS", 100)
+    before = steps()
+    assert find_similar(index, asked, 4, "B", max_broadcast_requests=0, bounded_from=0).count() == 4 * 320
+    assert sorted(name.rsplit("-", 5)[0] for name in steps() - before) == ["bounded-scores"]
+    # all rows are asked: a round copies half as many of them as there are, and meets a part of the blocks
+    assert max(rounds) >= 4 and max(rounds) % blocks.RIGHT_PARTS == 0
+
+
 def test_setting_is_put_back(spark):
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(name, None)
