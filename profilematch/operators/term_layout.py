@@ -51,15 +51,16 @@ def slots_for(entries: int, buckets: int) -> int:
 def lay_out(index: Index, path: str | None = None, slots: int | None = None) -> TermLayout:
     """Write the postings of ``index`` by term to ``path`` (a folder of the job, if none is given)."""
     spark = index.vocab.sparkSession
+    buckets = index.buckets or bucket_count(spark)
     if slots is None:
         entries = index.vocab.agg(F.sum("df")).first()[0] or 0
-        slots = slots_for(int(entries), bucket_count(spark))
+        slots = slots_for(int(entries), buckets)
     path = path or step_path(spark, "by-term")
     name = table_name()
     # the weights are partitioned by id already: a task writes one bucket of each slot
     rows = index.weights.select("id", "term", "w", _slot(slots).alias("slot"))
     writer = rows.write.mode("overwrite").option("path", path).partitionBy("slot")
-    writer.bucketBy(bucket_count(spark), "id").sortBy("term").saveAsTable(name)
+    writer.bucketBy(buckets, "id").sortBy("term").saveAsTable(name)
     postings = spark.table(name)
     bounds = materialize(postings.groupBy("term").agg(F.max("w").alias("max_w")), "term-bounds")
     return TermLayout(postings, bounds, slots)

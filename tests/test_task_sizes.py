@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from profilematch.operators.blocks import distance_kernel
 from profilematch.operators.term_layout import slots_for
-from profilematch.operators.tfidf import term_counts
+from profilematch.operators.tfidf import MAX_BROADCAST_TERMS, fit_index, term_counts
 from profilematch.plans.neighbours import CELL_BOUNDS
 
 
@@ -39,3 +39,15 @@ def test_distances_are_not_held_for_a_whole_cell():
     tracemalloc.stop()
     assert peak < 2_000 * 2_000 * 8
     assert CELL_BOUNDS * 8 < 4_000_000
+
+
+def test_a_bucket_holds_few_texts(spark):
+    texts = spark.range(100_000).select("id", F.array(F.lit("a"), F.concat(F.lit("b"), F.col("id") % 7)).alias("tokens"))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for most in (MAX_BROADCAST_TERMS, 2):  # all terms are broadcast, or rare ones are joined by a shuffle
+        index = fit_index(texts, "id", "tokens", "smooth", max_broadcast_terms=most).stored()
+        held = index.weights.groupBy("id").agg(F.sum(F.col("w") * F.col("w")).alias("n"))
+        sizes = held.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n")).collect()
+        assert index.buckets > least and index.buckets % least == 0
+        assert sum(r.n for r in sizes) == 100_000 and max(r.n for r in sizes) < 9_000
+        assert held.where("abs(n - 1) > 1e-9").isEmpty()
