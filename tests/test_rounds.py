@@ -106,7 +106,7 @@ def test_vectors_do_not_stay(spark, texts, rounds, monkeypatch):
     monkeypatch.setattr(blocks, "ROUND_ROWS", 100)
     before = steps()
     assert find_similar(index, asked, 4, "B", max_broadcast_requests=0, bounded_from=0).count() == 4 * 320
-    assert sorted(name.rsplit("-", 5)[0] for name in steps() - before) == ["bounded-scores"]
+    assert sorted(name.rsplit("-", 1)[0] for name in steps() - before) == ["bounded-scores"]
     # all rows are asked: a round copies half as many of them as there are, and meets a part of the blocks
     assert max(rounds) >= 4 and max(rounds) % blocks.RIGHT_PARTS == 0
 
