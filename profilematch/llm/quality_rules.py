@@ -100,7 +100,8 @@ def _counts(column: pa.Array) -> pa.StructArray:
 
 
 def with_counts(docs: DataFrame, text: str = "text", name: str = _COLUMN) -> DataFrame:
-    """``docs`` with one more column, a struct of the counts of its text."""
+    """``docs`` with one more column, a struct of the counts of its text. It takes the place of a column called ``name``."""
+    docs = docs.drop(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -114,6 +114,13 @@ def test_quality_counts(spark):
         assert again is None or r.n_repeat_words == len(again)
 
 
+def test_quality_counts_replace_a_column(spark):
+    docs = spark.createDataFrame([(1, "a b b", "x")], "doc_id long, text string, COUNTS string")
+    out = quality_rules.with_counts(docs, name="counts")
+    assert out.columns == ["doc_id", "text", "counts"] and out.select("counts.n_words").first()[0] == 3
+    assert quality_rules.with_counts(docs).columns == [*docs.columns, quality_rules._COLUMN]
+
+
 def test_quality_keeps_rows_and_columns(spark):
     docs = table(spark, extra=True)
     kept = quality_rules.quality_filter(docs, min_documents=5)
