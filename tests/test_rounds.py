@@ -111,6 +111,34 @@ def test_vectors_do_not_stay(spark, texts, rounds, monkeypatch):
     assert max(rounds) >= 4 and max(rounds) % blocks.RIGHT_PARTS == 0
 
 
+def test_pairs_with_blocks_are_bounded_in_each_turn(spark, texts, monkeypatch):
+    index = fit_index(texts, "id", "tokens", "smooth").stored()
+    asked = texts.select(F.col("id").alias("request_id"), F.col("id").alias("company_id"))
+    expected = lists(find_similar(index, asked, 4, "B", max_broadcast_requests=10**6))
+    pairs, turns, plain = [], [], similarity.needed_blocks
+
+    def counted(rows, asked, *more, **options):
+        needed = plain(rows, asked, *more, **options)
+        pairs.append(needed.count())
+        own = asked.select("id", F.col("block").alias("rb"))
+        assert needed.join(own, ["id", "rb"]).count() == 0
+        return needed
+
+    monkeypatch.setattr(similarity, "needed_blocks", counted)
+    monkeypatch.setattr(similarity, "KIND_ROWS", 20)
+    for rows in (10**5, 100):
+        monkeypatch.setattr(similarity, "ROUND_ROWS", rows)
+        monkeypatch.setattr(similarity, "PAIRS_A_ROW", 2)
+        pairs.clear()
+        assert lists(find_similar(index, asked, 4, "B", max_broadcast_requests=0, bounded_from=0)) == expected
+        turns.append(list(pairs))
+    assert len(turns[0]) == 1 < len(turns[1]) and sum(turns[0]) == sum(turns[1])
+    # a turn's rows come by a hash, so their number varies
+    assert max(turns[1]) <= 2 * similarity.PAIRS_A_ROW * 320
+    # the number of turns follows the asked rows times the blocks: pairs of a turn stay in proportion to the rows
+    assert [similarity.asked_turns(400_000 * k, 250 * k, 1_000_000 * k) for k in (1, 6)] == [50, 300]
+
+
 def test_setting_is_put_back(spark):
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(name, None)
