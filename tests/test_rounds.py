@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from catalogue import queries
 from profilematch import find_similar, fit_index
 from profilematch.operators import blocks, pairs, similarity
 from profilematch.operators.pairs import pairs_above
@@ -146,3 +147,25 @@ def test_setting_is_put_back(spark):
         assert spark.conf.get(name) == "true"
         raise KeyError
     assert spark.conf.get(name, None) == before
+
+
+def test_similar_rows_leave_no_second_copy_of_the_counts(spark, tmp_path, monkeypatch):
+    """Weights are read from the stored counts: only those and the result lie on disk at the end, not the weights too."""
+    r = random.Random(3)
+    docs = [(i, " ".join(r.choices(["aa", "bb", "cc", "dd", "ee", "ff"], k=5))) for i in range(40)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i,) for i in range(0, 40, 2)], "doc_id long").write.parquet(f"{tmp_path}/labels.parquet")
+    before = {p.name for p in Path(shared_folder(spark)).glob("profilematch/*")}
+    found = queries.QUERIES["find_similar_b"](spark, str(tmp_path)).collect()
+    assert len(found) == 20 * 5
+    steps = {p.name.rsplit("-", 1)[0] for p in Path(shared_folder(spark)).glob("profilematch/*") if p.name not in before}
+    assert "counts" in steps and "weights" not in steps
+
+
+def test_cells_of_a_round_hold_little_more_than_the_cores_need():
+    """Left and right rows of a round's cells, against those of both sides: 51,282 documents, 20,598 asked, 8 cores."""
+    tiles, together = blocks.round_size(13, 32, 8)
+    left, right = -(-13 // tiles), -(-32 // tiles)
+    parts = blocks.right_parts(together, right, 8)
+    copies = together * right / parts * (20_598 / left + 51_282 / right)
+    assert copies <= 2 * 51_282
