@@ -39,6 +39,8 @@ MAX_SHARED = 8192
 MAX_WORDS = 200_000
 MAX_RUNS = 250_000
 BATCH_WORDS = 2000
+#: Bytes of text that are cut and encoded at a time: what a worker holds beside its tables is many times that.
+SLICE_BYTES = 512 << 10
 
 
 #: ASCII without the apostrophe, and the letters of Latin-1: lower case maps them one to one, and none composes.
@@ -134,6 +136,11 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins[:-1])
 
 
+def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of ``batch`` with about SLICE_BYTES of text."""
+    return slices(batch, "text", SLICE_BYTES)
+
+
 def _chunk_hashes(column: pa.Array):
     data, offsets = text_bytes(column)
     starts = cuts(data, offsets)
@@ -146,7 +153,7 @@ def shared_chunks(docs: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in pieces(batch):
                 _, _, starts, ends, h = _chunk_hashes(part.column("text"))
                 h, n = np.unique(h[(ends - starts) <= MAX_CHUNK].astype(np.int64), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], ["h", "n"])
@@ -163,7 +170,7 @@ def shared_chunks(docs: DataFrame) -> DataFrame:
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in pieces(batch):
                 data, _, starts, ends, h = _chunk_hashes(part.column("text"))
                 h = h.astype(np.int64)
                 _, first = np.unique(h, return_index=True)
@@ -263,7 +270,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in pieces(batch):
                 known, shared = words_of(path), sent.value
                 data, offsets = text_bytes(part.column("text"))
                 starts = cuts(data, offsets)

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from profilematch.llm import components, crf, decontaminate, near_dedup, quality_model, samples, toxicity
+from profilematch.llm import bpe, components, crf, decontaminate, near_dedup, quality_model, samples, toxicity
 from tests.llm.fixtures import SCHEMA, matching, prose, rows, table, words
 
 
@@ -292,3 +292,12 @@ def test_pipeline(spark, tmp_path):
     ids = {r.doc_id: r.n_tokens for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert set(ids) == set(hidden) and all(ids.values())
     assert spark.createDataFrame([], SCHEMA).columns == docs.columns
+
+
+def test_texts_are_encoded_in_small_pieces():
+    """A worker holds some hundred KB of text at a time, however large its batch; a longer text is whole."""
+    texts = ["word " * 2_000] * 400 + [None, "", "x" * (1 << 20), "end"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    parts = list(bpe.pieces(batch))
+    assert [t for p in parts for t in p.column("text").to_pylist()] == texts
+    assert all(p.num_rows == 1 or sum(len(t or "") for t in p.column("text").to_pylist()) <= 512 << 10 for p in parts)
