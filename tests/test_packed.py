@@ -56,6 +56,14 @@ def test_packed_rows_come_back():
     assert len(parts) >= 6 and sorted(i for t in parts for i in t["id"].to_pylist()) == a["id"].to_pylist()
 
 
+def test_terms_that_come_twice_count_twice(monkeypatch):
+    a = pa.table({"id": [1, 2], "terms": [[5, 5, 7], [7]], "ws": [[0.5, 0.25, 1.0], [0.5]]})
+    for share in (0, 10**9):
+        monkeypatch.setattr(packed, "DENSE_SHARE", share)
+        cell = packed.Cell(packed._pack(a), packed._pack(a))
+        assert np.allclose(cell.exact(np.array([0, 0, 1]), np.array([0, 1, 1])), [0.75**2 + 1, 0.5, 0.25])
+
+
 def test_best_rows_under_their_own_rules():
     n, rights = 3, [table(20, k, grp=[[None, "x", "y"][i % 3] for i in range(20)]) for k in (1, 2, 3)]
     left = table(24, 1).append_column("self_id", pa.array([1000 + i if i % 2 else None for i in range(24)]))
